@@ -1,0 +1 @@
+"""Intentionally empty: every stage works on finite inputs, so there is no stream, watermark or state."""
