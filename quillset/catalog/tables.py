@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillset.functions.text import SUMMARY_SENTENCES, extractive_summary, join_sentences, sentences
 from quillset.operators.papers import build_papers, prepare_papers
+from quillset.operators.rouge import eval_pairs
 from quillset.operators.splitting import assign_splits
 
 
@@ -41,3 +43,53 @@ def split_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def by_language(papers_: DataFrame) -> DataFrame:
     """Language in the role of the split, for operators that only need some grouping."""
     return papers_.withColumn("split", F.element_at("categories", 2))
+
+
+def dated(papers_: DataFrame, doc_id: Column) -> DataFrame:
+    """Publication dates in the spellings that sources really use, among them two unusable ones."""
+    day = F.col("published")
+    spelled = (
+        F.when(doc_id % 7 == 0, F.concat(day, F.lit("T10:30:00Z")))
+        .when(doc_id % 7 == 1, F.concat(day, F.lit("T22:30:00-05:00")))
+        .when(doc_id % 7 == 2, F.concat(day, F.lit(" 08:15:30")))
+        .when(doc_id % 7 == 3, F.concat(day, F.lit(" (v2)")))
+        .when(doc_id % 7 == 4, F.substring(day, 1, 7))
+        .when((doc_id % 7 == 5) & (doc_id % 2 == 0), F.lit(None))
+        .otherwise(day)
+    )
+    return papers_.withColumn("published", spelled)
+
+
+def search_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as a search service returns them: untrimmed text, authors as structs, zoned dates."""
+    doc_id = F.col("arxiv_id")
+    padded = raw_papers(spark, sf_dir).select(
+        "arxiv_id",
+        F.when(doc_id % 5 != 0, F.concat(F.lit("\u00a0 \t"), "title", F.lit("\u2003\n"))).alias("title"),
+        F.when(doc_id % 11 != 0, F.concat(F.lit("\n "), "abstract", F.lit("\u3000"))).alias("abstract"),
+        F.when(doc_id % 3 != 0, F.transform("categories", lambda c: F.struct(c.alias("name")))).alias("authors"),
+        F.when(doc_id % 13 != 0, F.col("categories")).alias("categories"),
+        "published",
+        "pdf_url",
+    )
+    return dated(padded, doc_id)
+
+
+def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A baseline "model": the last sentences of every document."""
+    parts = sentences(F.col("text"))
+    last = F.slice(parts, F.greatest(F.size(parts) - (SUMMARY_SENTENCES - 1), F.lit(1)), F.lit(SUMMARY_SENTENCES))
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("id"), join_sentences(last).alias("prediction")
+    )
+
+
+def references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels it is scored against: the first sentences."""
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("id"), extractive_summary(F.col("text")).alias("reference")
+    )
+
+
+def scored_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return eval_pairs(predictions(spark, sf_dir), references(spark, sf_dir))

@@ -6,6 +6,7 @@ from collections import Counter
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _rows(reference, candidate) -> list[int]:
@@ -63,12 +64,12 @@ def union_lcs_hits(reference_lines, candidate_lines) -> int:
     return hits
 
 
-@F.pandas_udf("bigint")
+@F.pandas_udf(T.LongType())
 def lcs_length(reference: pd.Series, candidate: pd.Series) -> pd.Series:
     return pd.Series([lcs_size(list(r), list(c)) for r, c in zip(reference, candidate)], dtype="int64")
 
 
-@F.pandas_udf("bigint")
+@F.pandas_udf(T.LongType())
 def summary_lcs_length(reference: pd.Series, candidate: pd.Series) -> pd.Series:
     return pd.Series(
         [union_lcs_hits([list(x) for x in r], [list(x) for x in c]) for r, c in zip(reference, candidate)],
