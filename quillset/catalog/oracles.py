@@ -243,9 +243,9 @@ def word_tokens(x: str) -> str:
 
 
 def examples(tokens: Callable[[str], str]) -> str:
-    """Truncated inputs and targets; a paper without summary has no target tokens."""
+    """Truncated inputs and targets."""
     return f"""{LABELLED}, tokenized AS (
-  SELECT id, {tokens('abstract')} AS i, {tokens('summary')} AS t FROM labelled)
+  SELECT id, {tokens('abstract')} AS i, {tokens("coalesce(summary, '')")} AS t FROM labelled)
 SELECT id, array_to_string(i[1:512], '|') AS input_ids, array_to_string(t[1:128], '|') AS labels,
   least(len(i), 512)::int AS input_len, least(len(t), 128)::int AS target_len, len(i) > 512 OR len(t) > 128 AS truncated
 FROM tokenized"""

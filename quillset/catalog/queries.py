@@ -13,6 +13,7 @@ from quillset.functions.dates import parse_published
 from quillset.operators import examples, labels, rouge, splitting, stats
 from quillset.operators.papers import dedup_latest, filter_date_range, filter_min_words, normalize_source
 from quillset.operators.search import search_papers
+from quillset.plans.evaluate import evaluate_predictions
 from quillset.schemas import PREPARED_PAPER
 from quillset.session import scratch_path
 from quillset.sources import atom, jsonl, splits
@@ -270,32 +271,37 @@ def truncate_custom_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Evaluation
 
 
+def scored(spark: SparkSession, sf_dir: str, *metrics: str, stemmed: bool = False) -> DataFrame:
+    return rounded(rouge.rouge_scores(tables.scored_pairs(spark, sf_dir), metrics, stemmed))
+
+
 def rouge1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(rouge.rouge_n(tables.scored_pairs(spark, sf_dir), (1,)))
+    return scored(spark, sf_dir, "rouge1")
 
 
 def rouge2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(rouge.rouge_n(tables.scored_pairs(spark, sf_dir), (2,)))
+    return scored(spark, sf_dir, "rouge2")
 
 
 def rouge1_stem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(rouge.rouge_n(tables.scored_pairs(spark, sf_dir), (1,), stemmed=True))
+    return scored(spark, sf_dir, "rouge1", stemmed=True)
 
 
 def rouge_l(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(rouge.rouge_l(tables.scored_pairs(spark, sf_dir)))
+    return scored(spark, sf_dir, "rougeL")
 
 
 def rouge_lsum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(rouge.rouge_l(tables.scored_pairs(spark, sf_dir), per_line=True))
+    return scored(spark, sf_dir, "rougeLsum")
 
 
 def rouge_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rouge.corpus_scores(rouge.rouge_n(tables.scored_pairs(spark, sf_dir)))
+    pairs = tables.scored_pairs(spark, sf_dir)
+    return rouge.corpus_scores(rouge.rouge_scores(pairs, ("rouge1", "rouge2"), stemmed=False))
 
 
 def rouge_corpus_stem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rouge.corpus_scores(rouge.rouge_scores(tables.scored_pairs(spark, sf_dir)))
+    return evaluate_predictions(tables.predictions(spark, sf_dir), tables.references(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {

@@ -29,7 +29,7 @@ def tokenizer_column(factory: TokenizerFactory) -> Callable[[Column], Column]:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encode = factory()
         for batch in batches:
-            yield pd.Series(encode(batch.fillna("").tolist()), index=batch.index, dtype=object)
+            yield pd.Series(encode(batch.tolist()), index=batch.index, dtype=object)
 
     return run
 
@@ -43,12 +43,19 @@ def training_examples(
     target_column: str = "summary",
     key: str = "id",
 ) -> DataFrame:
-    """Key, truncated input and target tokens, attention mask and lengths; all other columns go."""
+    """Key, truncated input and target tokens, attention mask and lengths; all other columns go.
+
+    A missing text has no tokens.
+    """
     absent = [c for c in (input_column, target_column) if c not in labelled.columns]
     if absent:
         raise ValueError(f"missing {absent}: label the papers first")
     tokens = word_tokens if tokenizer is None else tokenizer_column(tokenizer)
-    texts = labelled.select(key, F.col(input_column).alias("_input"), F.col(target_column).alias("_target"))
+    texts = labelled.select(
+        key,
+        F.coalesce(F.col(input_column), F.lit("")).alias("_input"),
+        F.coalesce(F.col(target_column), F.lit("")).alias("_target"),
+    )
     tokenized = with_computed(texts, _input=tokens(F.col("_input")), _target=tokens(F.col("_target")))
     cut = tokenized.select(
         key,

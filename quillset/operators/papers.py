@@ -42,9 +42,8 @@ def filter_min_words(papers: DataFrame, min_words: int = MIN_ABSTRACT_WORDS) ->
     return papers.where(F.col("abs_words") >= min_words)
 
 
-def in_date_range(date_range: str | None, end_of_day: bool = False) -> Column:
-    """Whether ``published`` lies within ``A..B``. Unparseable dates fail any range; no separator means
-    no filter.
+def in_date_range(moment: Column, date_range: str | None, end_of_day: bool = False) -> Column:
+    """Whether a parsed date lies within ``A..B``. No date fails any range; no separator means no filter.
 
     The end bound is its midnight; ``end_of_day`` extends it over the whole last day.
     """
@@ -52,7 +51,6 @@ def in_date_range(date_range: str | None, end_of_day: bool = False) -> Column:
     if bounds is None:
         return F.lit(True)
     first, last = bounds
-    moment = parse_published(F.col("published"))
     keep = moment.isNotNull()
     if first:
         keep = keep & (moment >= F.lit(first).cast("timestamp_ntz"))
@@ -60,11 +58,14 @@ def in_date_range(date_range: str | None, end_of_day: bool = False) -> Column:
         keep = keep & (moment < F.lit(last + timedelta(days=1)).cast("timestamp_ntz"))
     elif last:
         keep = keep & (moment <= F.lit(last).cast("timestamp_ntz"))
-    return keep
+    return F.coalesce(keep, F.lit(False))
 
 
 def filter_date_range(papers: DataFrame, date_range: str | None, end_of_day: bool = False) -> DataFrame:
-    return papers.where(in_date_range(date_range, end_of_day))
+    if parse_range(date_range) is None:
+        return papers
+    parsed = with_computed(papers, _moment=parse_published(F.col("published")))
+    return parsed.where(in_date_range(F.col("_moment"), date_range, end_of_day)).drop("_moment")
 
 
 def dedup_latest(papers: DataFrame, nulls: str = "newest") -> DataFrame:

@@ -14,6 +14,7 @@ from quillset.session import with_computed
 ROUGE_TOKEN = "[a-z0-9]+"
 LINE_SEPARATOR = "\n"
 SCORE_DECIMALS = 2
+METRICS = ("rouge1", "rouge2", "rougeL", "rougeLsum")
 
 
 def eval_pairs(predictions: DataFrame, references: DataFrame, key: str = "id") -> DataFrame:
@@ -43,89 +44,72 @@ def _scores(overlap: Column, predicted: Column, expected: Column) -> list[Column
     return [precision.alias("precision"), recall.alias("recall"), f1.alias("f1")]
 
 
-def rouge_n(
-    pairs: DataFrame, sizes: tuple[int, ...] = (1, 2), stemmed: bool = False, key: str = "id"
-) -> DataFrame:
-    """Precision, recall and F1 of n-gram overlap, one row per pair and size.
-
-    The texts are shuffled once, by key; the counting per n-gram and the totals per pair then happen in
-    place. Both sides go through one aggregation instead of a join of two.
-    """
-    spread = pairs.select(key, strip(F.col("prediction")).alias("prediction"), strip(F.col("reference")).alias("reference"))
-    tokenized = with_computed(
-        spread.repartition(key),
-        prediction=rouge_tokens(F.col("prediction"), stemmed),
-        reference=rouge_tokens(F.col("reference"), stemmed),
-    )
+def _lines(text: Column, stemmed: bool) -> Column:
+    """Tokens line by line. No token spans two lines, so flattened they are the tokens of the text."""
+    lines = F.filter(F.split(F.coalesce(strip(text), F.lit("")), LINE_SEPARATOR), lambda line: line != "")
+    return F.transform(lines, lambda line: rouge_tokens(line, stemmed))
 
-    def tagged(side: str, n: int) -> Column:
-        grams = F.coalesce(_ngrams(F.col(side), n), F.array().cast("array<string>"))
-        in_prediction, in_reference = (1, 0) if side == "prediction" else (0, 1)
-        return F.transform(
-            grams,
-            lambda g: F.struct(
-                F.lit(n).alias("n"), g.alias("gram"), F.lit(in_prediction).alias("p"), F.lit(in_reference).alias("r")
-            ),
-        )
 
-    # One empty entry per size keeps pairs without any n-gram.
-    anchors = [
-        F.array(F.struct(F.lit(n).alias("n"), F.lit("").alias("gram"), F.lit(0).alias("p"), F.lit(0).alias("r")))
-        for n in sizes
-    ]
-    parts = anchors + [tagged(side, n) for n in sizes for side in ("prediction", "reference")]
-    counts = (
-        tokenized.select(key, F.inline(F.concat(*parts)))
-        .groupBy(key, "n", "gram")
-        .agg(F.sum("p").alias("p"), F.sum("r").alias("r"))
-    )
-    totals = counts.groupBy(key, "n").agg(
-        F.sum(F.least("p", "r")).alias("overlap"), F.sum("p").alias("predicted"), F.sum("r").alias("expected")
+def _entry(metric: str, gram: Column, predicted: Column, expected: Column, overlap: Column) -> Column:
+    return F.struct(
+        F.lit(metric).alias("metric"),
+        gram.alias("gram"),
+        predicted.cast("bigint").alias("predicted"),
+        expected.cast("bigint").alias("expected"),
+        overlap.cast("bigint").alias("overlap"),
     )
-    scores = _scores(F.col("overlap"), F.col("predicted"), F.col("expected"))
-    return totals.select(key, F.concat(F.lit("rouge"), F.col("n")).alias("metric"), *scores)
 
 
-def _lines(text: Column, stemmed: bool) -> Column:
-    lines = F.filter(F.split(F.coalesce(strip(text), F.lit("")), LINE_SEPARATOR), lambda line: line != "")
-    return F.transform(lines, lambda line: rouge_tokens(line, stemmed))
+def _ngram_entries(metric: str, n: int) -> list[Column]:
+    """One entry per n-gram occurrence, and an empty one that keeps pairs without any."""
+    none, one, zero = F.lit(None), F.lit(1), F.lit(0)
+    return [
+        F.array(_entry(metric, F.lit(""), zero, zero, none)),
+        F.transform(_ngrams(F.col("prediction"), n), lambda g: _entry(metric, g, one, zero, none)),
+        F.transform(_ngrams(F.col("reference"), n), lambda g: _entry(metric, g, zero, one, none)),
+    ]
 
 
-def rouge_l(
-    pairs: DataFrame, stemmed: bool = False, per_line: bool = False, key: str = "id"
+def rouge_scores(
+    pairs: DataFrame, metrics: tuple[str, ...] = METRICS, stemmed: bool = True, key: str = "id"
 ) -> DataFrame:
-    """Scores of the longest common subsequence of whole texts, or with ``per_line`` of the union of the
-    subsequences line by line (rougeLsum). No shuffle."""
-    if per_line:
-        columns = {s: _lines(F.col(s), stemmed) for s in ("prediction", "reference")}
-        hits, metric = summary_lcs_length, "rougeLsum"
-    else:
-        columns = {
-            s: F.coalesce(rouge_tokens(strip(F.col(s)), stemmed), F.array().cast("array<string>"))
-            for s in ("prediction", "reference")
-        }
-        hits, metric = lcs_length, "rougeL"
-    tokenized = with_computed(pairs.select(key, "prediction", "reference"), **columns)
-
-    def size(side: str) -> Column:
-        if per_line:
-            return F.aggregate(side, F.lit(0), lambda total, line: total + F.size(line)).cast("bigint")
-        return F.size(side).cast("bigint")
-
-    counted = tokenized.select(
-        key,
-        hits(F.col("reference"), F.col("prediction")).alias("overlap"),
-        size("prediction").alias("predicted"),
-        size("reference").alias("expected"),
+    """Precision, recall and F1, one row per pair and metric; keys must be unique.
+
+    Texts are shuffled once, by key, and tokenized once for all metrics. The n-grams of both sides are
+    then counted together, without a join, and since they stay with their key the counting needs no
+    further shuffle. A common subsequence has its overlap already and passes through the same totals.
+    """
+    lined = with_computed(
+        pairs.select(key, "prediction", "reference").repartition(key),
+        prediction_lines=_lines(F.col("prediction"), stemmed),
+        reference_lines=_lines(F.col("reference"), stemmed),
     )
+    tokenized = with_computed(
+        lined, prediction=F.flatten("prediction_lines"), reference=F.flatten("reference_lines")
+    )
+    predicted, expected = F.size("prediction"), F.size("reference")
+    entries = []
+    for metric in metrics:
+        if metric == "rougeL":
+            tokenized = tokenized.withColumn("_lcs", lcs_length(F.col("reference"), F.col("prediction")))
+            entries.append(F.array(_entry(metric, F.lit(None), predicted, expected, F.col("_lcs"))))
+        elif metric == "rougeLsum":
+            union = summary_lcs_length(F.col("reference_lines"), F.col("prediction_lines"))
+            tokenized = tokenized.withColumn("_union_lcs", union)
+            entries.append(F.array(_entry(metric, F.lit(None), predicted, expected, F.col("_union_lcs"))))
+        else:
+            entries += _ngram_entries(metric, int(metric.removeprefix("rouge")))
+    spread = tokenized.select(key, F.inline(F.concat(*entries)))
+    if any(metric not in ("rougeL", "rougeLsum") for metric in metrics):
+        counts = spread.groupBy(key, "metric", "gram").agg(
+            F.sum("predicted").alias("predicted"), F.sum("expected").alias("expected"), F.max("overlap").alias("overlap")
+        )
+        shared = F.coalesce("overlap", F.least("predicted", "expected"))
+        spread = counts.groupBy(key, "metric").agg(
+            F.sum("predicted").alias("predicted"), F.sum("expected").alias("expected"), F.sum(shared).alias("overlap")
+        )
     scores = _scores(F.col("overlap"), F.col("predicted"), F.col("expected"))
-    return counted.select(key, F.lit(metric).alias("metric"), *scores)
-
-
-def rouge_scores(pairs: DataFrame, stemmed: bool = True, key: str = "id") -> DataFrame:
-    """All four metrics in long form."""
-    lcs = rouge_l(pairs, stemmed, key=key).unionByName(rouge_l(pairs, stemmed, per_line=True, key=key))
-    return rouge_n(pairs, (1, 2), stemmed, key).unionByName(lcs)
+    return spread.select(key, "metric", *scores)
 
 
 def corpus_scores(scores: DataFrame, score: str = "f1") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillset.functions.dates import parse_published, parse_range
 from quillset.functions.text import clean_abstract, word_count
 from quillset.operators.papers import in_date_range, is_present
 from quillset.operators.splitting import split_sizes
@@ -25,8 +26,10 @@ def prep_stats(
     survive deduplication are the titles with at least one paper that passes the filters.
     """
     cleaned = with_computed(raw, abstract=clean_abstract(F.col("abstract")))
-    counted = with_computed(cleaned, abs_words=word_count(F.col("abstract")))
-    passes = is_present() & (F.col("abs_words") >= min_words) & in_date_range(date_range)
+    moment = parse_published(F.col("published")) if parse_range(date_range) else F.lit(None).cast("timestamp_ntz")
+    counted = with_computed(cleaned, abs_words=word_count(F.col("abstract")), moment=moment)
+    in_range = in_date_range(F.col("moment"), date_range)
+    passes = is_present() & (F.col("abs_words") >= min_words) & in_range
     flagged = counted.select("title", is_present().alias("present"), passes.alias("kept"))
     per_title = flagged.groupBy("title").agg(
         F.count(F.lit(1)).alias("rows"), F.count_if("present").alias("present"), F.count_if("kept").alias("kept")
