@@ -140,17 +140,13 @@ def search_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Scalar functions
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.table(spark, sf_dir, "documents")
-
-
 def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents(spark, sf_dir).select("doc_id", text.clean_abstract(F.col("text")).alias("abstract"))
+    return tables.documents(spark, sf_dir).select("doc_id", text.clean_abstract(F.col("text")).alias("abstract"))
 
 
 def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = F.col("text")
-    return documents(spark, sf_dir).select(
+    return tables.documents(spark, sf_dir).select(
         "doc_id",
         text.word_count(source).alias("words"),
         text.whitespace_word_count(source).alias("whitespace_words"),
@@ -159,11 +155,11 @@ def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     ratio = text.compression_ratio(F.col("text"), text.extractive_summary(F.col("text")))
-    return rounded(documents(spark, sf_dir).select("doc_id", ratio.alias("compression")))
+    return rounded(tables.documents(spark, sf_dir).select("doc_id", ratio.alias("compression")))
 
 
 def extractive_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents(spark, sf_dir).select("doc_id", text.extractive_summary(F.col("text")).alias("summary"))
+    return tables.documents(spark, sf_dir).select("doc_id", text.extractive_summary(F.col("text")).alias("summary"))
 
 
 def dates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,7 +190,7 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def summary_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents(spark, sf_dir).select("doc_id", text.long_enough(F.col("text")).alias("long_enough"))
+    return tables.documents(spark, sf_dir).select("doc_id", text.long_enough(F.col("text")).alias("long_enough"))
 
 
 def validate_summary(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,15 +9,20 @@ from quillset.functions.text import SUMMARY_SENTENCES, extractive_summary, join_
 from quillset.operators.papers import build_papers, prepare_papers
 from quillset.operators.rouge import eval_pairs
 from quillset.operators.splitting import assign_splits
+from quillset.session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"))
+
+
 def raw_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as raw papers: first line as title, source and language as categories, a date by id."""
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         F.col("doc_id").alias("arxiv_id"),
         F.substring_index("text", "\n", 1).alias("title"),
         F.col("text").alias("abstract"),
@@ -79,14 +84,14 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A baseline "model": the last sentences of every document."""
     parts = sentences(F.col("text"))
     last = F.slice(parts, F.greatest(F.size(parts) - (SUMMARY_SENTENCES - 1), F.lit(1)), F.lit(SUMMARY_SENTENCES))
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         F.col("doc_id").alias("id"), join_sentences(last).alias("prediction")
     )
 
 
 def references(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The labels it is scored against: the first sentences."""
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         F.col("doc_id").alias("id"), extractive_summary(F.col("text")).alias("reference")
     )
 

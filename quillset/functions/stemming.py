@@ -92,7 +92,8 @@ def any_suffix(suffixes) -> str:
 
 def _plural(word: Column) -> Column:
     regular = F.regexp_replace(F.regexp_replace(word, "(ss|i)es$", "$1"), "([^s])s$", "$1")
-    return F.when(word.rlike("^.ies$"), _drop(word, 1)).otherwise(regular)
+    shortened = F.when(word.rlike("^.ies$"), _drop(word, 1)).otherwise(regular)
+    return F.when(word.endswith("s"), shortened).otherwise(word)
 
 
 def _repair(stem: Column) -> Column:
@@ -106,7 +107,8 @@ def _repair(stem: Column) -> Column:
 
 def _past_and_gerund(word: Column) -> Column:
     return (
-        F.when(word.rlike("^.ied$"), _drop(word, 1))
+        F.when(~(word.endswith("ed") | word.endswith("ing")), word)
+        .when(word.rlike("^.ied$"), _drop(word, 1))
         .when(word.endswith("ied"), _drop(word, 2))
         .when(word.endswith("eed"), F.when(word.rlike(MEASURE_OVER_0 + ".*eed$"), _drop(word, 1)).otherwise(word))
         .when(word.rlike(TO_VOWEL + ".*(?:ed|ing)$"), _let(F.regexp_replace(word, "(?:ed|ing)$", ""), _repair))
@@ -115,11 +117,11 @@ def _past_and_gerund(word: Column) -> Column:
 
 
 def _final_y(word: Column) -> Column:
-    return F.regexp_replace(word, "^(.+[^aeiouy])y$", "$1i")
+    return F.when(word.endswith("y"), F.regexp_replace(word, "^(.+[^aeiouy])y$", "$1i")).otherwise(word)
 
 
 def _adverb(word: Column) -> Column:
-    return F.when(word.rlike(MEASURE_OVER_0 + ".*alli$"), _drop(word, 2)).otherwise(word)
+    return F.when(word.endswith("alli") & word.rlike(MEASURE_OVER_0 + ".*alli$"), _drop(word, 2)).otherwise(word)
 
 
 def _derived(word: Column) -> Column:

@@ -106,9 +106,7 @@ def label_papers(
 
 def extractive_struct(text: Column) -> Column:
     """The native stand-in for a predictor: same shape, never an error."""
-    return F.struct(
-        F.when(text.isNotNull(), extractive_summary(text)).alias("text"), F.lit(None).cast("string").alias("error")
-    )
+    return F.struct(extractive_summary(text).alias("text"), F.lit(None).cast("string").alias("error"))
 
 
 def fill_fallback(labelled: DataFrame) -> DataFrame:

@@ -52,3 +52,13 @@ def with_computed(df: DataFrame, **columns: Column) -> DataFrame:
     """
     kept = [F.col(c) for c in df.columns if c not in columns]
     return df.select(*kept, F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a small input to all cores.
+
+    A file with few row groups would keep most cores idle during the work on its texts. An input of
+    many partitions is left alone, so no large table is shuffled here.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
