@@ -75,6 +75,9 @@ RESIDUAL_SUFFIXES = [
     "ate", "iti", "ous", "ive", "ize",
 ]
 MIN_STEMMED_LENGTH = 4
+# A word with none of these endings passes every step unchanged.
+FINAL_LETTERS = ["e", "s", "y"]
+ALL_SUFFIXES = ["ed", "ing", "ll", *DERIVED_SUFFIXES, *ENDING_SUFFIXES, *RESIDUAL_SUFFIXES]
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -90,6 +93,15 @@ def any_suffix(suffixes) -> str:
     return "(" + "|".join(suffixes) + ")$"
 
 
+def _table(entries: dict[str, str]) -> Column:
+    return F.expr("map(" + ", ".join(f"'{word}', '{value}'" for word, value in entries.items()) + ")")
+
+
+def _ends_like(word: Column, suffixes) -> Column:
+    """A cheap necessary condition for ending in one of the suffixes."""
+    return F.right(word, F.lit(2)).isin(sorted({suffix[-2:] for suffix in suffixes}))
+
+
 def _plural(word: Column) -> Column:
     regular = F.regexp_replace(F.regexp_replace(word, "(ss|i)es$", "$1"), "([^s])s$", "$1")
     shortened = F.when(word.rlike("^.ies$"), _drop(word, 1)).otherwise(regular)
@@ -128,23 +140,21 @@ def _derived(word: Column) -> Column:
     def replaced(suffix: Column) -> Column:
         stem = _drop(word, F.length(suffix))
         measured = F.when(suffix == "logi", _drop(word, 3)).otherwise(stem)
-        table = F.create_map(*[F.lit(s) for pair in DERIVED_SUFFIXES.items() for s in pair])
-        return F.when(
-            (suffix != "") & measured.rlike(MEASURE_OVER_0), F.concat(stem, F.element_at(table, suffix))
-        ).otherwise(word)
+        applies = (suffix != "") & measured.rlike(MEASURE_OVER_0)
+        return F.when(applies, F.concat(stem, F.element_at(_table(DERIVED_SUFFIXES), suffix))).otherwise(word)
 
-    return _let(F.regexp_extract(word, any_suffix(DERIVED_SUFFIXES), 1), replaced)
+    found = _let(F.regexp_extract(word, any_suffix(DERIVED_SUFFIXES), 1), replaced)
+    return F.when(_ends_like(word, DERIVED_SUFFIXES), found).otherwise(word)
 
 
 def _ending(word: Column) -> Column:
     def replaced(suffix: Column) -> Column:
         stem = _drop(word, F.length(suffix))
-        table = F.create_map(*[F.lit(s) for pair in ENDING_SUFFIXES.items() for s in pair])
-        return F.when(
-            (suffix != "") & stem.rlike(MEASURE_OVER_0), F.concat(stem, F.element_at(table, suffix))
-        ).otherwise(word)
+        applies = (suffix != "") & stem.rlike(MEASURE_OVER_0)
+        return F.when(applies, F.concat(stem, F.element_at(_table(ENDING_SUFFIXES), suffix))).otherwise(word)
 
-    return _let(F.regexp_extract(word, any_suffix(ENDING_SUFFIXES), 1), replaced)
+    found = _let(F.regexp_extract(word, any_suffix(ENDING_SUFFIXES), 1), replaced)
+    return F.when(_ends_like(word, ENDING_SUFFIXES), found).otherwise(word)
 
 
 def _residual(word: Column) -> Column:
@@ -153,7 +163,8 @@ def _residual(word: Column) -> Column:
         allowed = (suffix != "ion") | stem.rlike("[st]$")
         return F.when((suffix != "") & allowed & stem.rlike(MEASURE_OVER_1), stem).otherwise(word)
 
-    return _let(F.regexp_extract(word, any_suffix(RESIDUAL_SUFFIXES), 1), replaced)
+    found = _let(F.regexp_extract(word, any_suffix(RESIDUAL_SUFFIXES), 1), replaced)
+    return F.when(_ends_like(word, RESIDUAL_SUFFIXES), found).otherwise(word)
 
 
 def _final_e(word: Column) -> Column:
@@ -177,7 +188,9 @@ def stem(word: Column) -> Column:
         regular = token
         for step in STEPS:
             regular = _let(regular, step)
-        irregular = F.element_at(F.create_map(*[F.lit(s) for pair in IRREGULAR.items() for s in pair]), token)
-        return F.when(F.length(token) >= MIN_STEMMED_LENGTH, F.coalesce(irregular, regular)).otherwise(token)
+        irregular = F.element_at(_table(IRREGULAR), token)
+        changes = F.right(token, F.lit(1)).isin(FINAL_LETTERS) | _ends_like(token, ALL_SUFFIXES)
+        long_enough = F.length(token) >= MIN_STEMMED_LENGTH
+        return F.when(long_enough & changes, F.coalesce(irregular, regular)).otherwise(token)
 
     return _let(word, stemmed)

@@ -79,8 +79,10 @@ def rouge_scores(
     then counted together, without a join, and since they stay with their key the counting needs no
     further shuffle. A common subsequence has its overlap already and passes through the same totals.
     """
+    # A given number of partitions keeps the work on tokens spread, however few bytes the texts have.
+    partitions = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lined = with_computed(
-        pairs.select(key, "prediction", "reference").repartition(key),
+        pairs.select(key, "prediction", "reference").repartition(partitions, key),
         prediction_lines=_lines(F.col("prediction"), stemmed),
         reference_lines=_lines(F.col("reference"), stemmed),
     )
