@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,13 +12,15 @@ from pyspark.sql import functions as F
 from quillset.functions.text import WORD_CHARACTER, csv_items
 from quillset.schemas import MAX_RESULTS
 
+# Neither space nor word: no term matches across the two fields.
+FIELD_SEPARATOR = " | "
 
-def _mentions(term: str) -> Column:
-    """The term as whole words, in any case, in title or abstract."""
-    words = r"\s+".join(re.escape(word) for word in term.lower().split())
-    pattern = f"(?<!{WORD_CHARACTER}){words}(?!{WORD_CHARACTER})"
-    title, abstract = (F.coalesce(F.col(c), F.lit("")) for c in ("title", "abstract"))
-    return F.lower(title).rlike(pattern) | F.lower(abstract).rlike(pattern)
+
+def _mentions(terms: list[str]) -> Column:
+    """Any of the terms as whole words, in any case, in title or abstract: one pattern over both."""
+    spelled = "|".join(r"\s+".join(re.escape(word) for word in term.lower().split()) for term in terms)
+    pattern = f"(?<!{WORD_CHARACTER})(?:{spelled})(?!{WORD_CHARACTER})"
+    return F.lower(F.concat_ws(FIELD_SEPARATOR, "title", "abstract")).rlike(pattern)
 
 
 def search_predicate(categories_csv: str = "", free_text: str = "") -> Column:
@@ -28,12 +32,14 @@ def search_predicate(categories_csv: str = "", free_text: str = "") -> Column:
     if categories:
         keep = keep & F.arrays_overlap("categories", F.array(*[F.lit(c) for c in categories]))
     if free_text.strip():
-        any_of = F.lit(False)
-        for alternative in free_text.split(" OR "):
-            all_of = F.lit(True)
-            for term in alternative.split(" AND "):
-                all_of = all_of & _mentions(term)
-            any_of = any_of | all_of
+        alternatives = [
+            [term for term in alternative.split(" AND ") if term.strip()] for alternative in free_text.split(" OR ")
+        ]
+        single = [terms[0] for terms in alternatives if len(terms) == 1]
+        any_of = _mentions(single) if single else F.lit(False)
+        for terms in alternatives:
+            if len(terms) > 1:
+                any_of = any_of | reduce(and_, [_mentions([term]) for term in terms])
         keep = keep & any_of
     return keep
 

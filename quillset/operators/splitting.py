@@ -72,10 +72,11 @@ def _last_hash(hashes: DataFrame, cut: _Cut) -> str:
         return ""
     if cut.rows > SORTABLE_ROWS:
         raise ValueError("the split key is not unique, so no exact cut exists")
-    inside = hashes.where(F.col("h").startswith(cut.prefix)).orderBy("h").limit(cut.rank + 1).collect()
-    if len(inside) > cut.rank and inside[cut.rank]["h"] == inside[cut.rank - 1]["h"]:
+    inside = hashes.where(F.col("h").startswith(cut.prefix)).orderBy("h")
+    last, *following = [row["h"] for row in inside.offset(cut.rank - 1).limit(2).collect()]
+    if last in following:
         raise ValueError("the split key is not unique, so no exact cut exists")
-    return inside[cut.rank - 1]["h"]
+    return last
 
 
 def assign_splits(
