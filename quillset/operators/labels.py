@@ -42,24 +42,34 @@ def _predict_batch(predict: Predict, texts: list[str]) -> list[tuple[str | None,
 
 
 def predictor_column(factory: PredictorFactory, batch_size: int = BATCH_SIZE) -> Callable[[Column], Column]:
-    """A column function running the model over Arrow batches; null inputs are not sent to it."""
+    """A column function running the model over arrays of texts in Arrow batches; nulls are not sent to it."""
 
-    @F.pandas_udf("text string, error string")
+    @F.pandas_udf("texts array<string>, errors array<string>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         predict = factory()
         for batch in batches:
-            outputs: list[tuple[str | None, str | None]] = [(None, None)] * len(batch)
-            wanted = [i for i, text in enumerate(batch) if text is not None]
+            texts = [text for row in batch for text in row]
+            outputs: list[tuple[str | None, str | None]] = [(None, None)] * len(texts)
+            wanted = [i for i, text in enumerate(texts) if text is not None]
             for start in range(0, len(wanted), batch_size):
                 chunk = wanted[start : start + batch_size]
-                for i, output in zip(chunk, _predict_batch(predict, [batch.iloc[i] for i in chunk])):
+                for i, output in zip(chunk, _predict_batch(predict, [texts[i] for i in chunk])):
                     outputs[i] = output
-            yield pd.DataFrame(outputs, columns=["text", "error"], dtype=object)
+            remaining = iter(outputs)
+            rows = [[next(remaining) for _ in row] for row in batch]
+            columns = {name: [[output[k] for output in row] for row in rows] for k, name in enumerate(["texts", "errors"])}
+            yield pd.DataFrame(columns)
 
     # Marked nondeterministic so that no optimisation runs the model twice on a row.
     return run.asNondeterministic()
 
 
+def extractive_column(texts: Column) -> Column:
+    """The native stand-in for a model: same shape, never an error."""
+    no_errors = F.transform(texts, lambda _: F.lit(None).cast("string"))
+    return F.struct(F.transform(texts, lambda text: extractive_summary(text)).alias("texts"), no_errors.alias("errors"))
+
+
 def label_papers(
     papers: DataFrame,
     predictor: PredictorFactory | None = None,
@@ -71,42 +81,36 @@ def label_papers(
 ) -> DataFrame:
     """Add ``summary``, ``methods`` and ``results``.
 
-    Short abstracts get no summary, invalid summaries become null, and the other two are only asked for
-    where the summary is valid. Without a predictor the first sentences are extracted and no Python
-    worker starts. With one, ``label_error`` holds what it raised for a row; store the result before
-    deriving anything from it, or the model runs again.
+    Short abstracts get no summary, invalid summaries become null, and the other two are only asked for,
+    together, where the summary is valid. Without a predictor the first sentences are extracted and no
+    Python worker starts. With one, ``label_error`` holds what it raised for a row; store the result
+    before deriving anything from it, or the model runs again.
     """
     source = F.col("abstract")
-    guarded = F.when(long_enough(source), source)
+    guarded = F.array(F.when(long_enough(source), source))
     if predictor is None:
-        predict = extractive_struct
-        drafted = with_computed(papers, _summary=predict(guarded))
+        predict = extractive_column
+        drafted = with_computed(papers, _draft=predict(guarded))
     else:
         predict = predictor_column(predictor, batch_size)
-        drafted = papers.withColumn("_summary", predict(guarded))
-    valid = is_valid_summary(F.col("_summary.text"), min_words, max_words)
-    labelled = drafted.select(
-        *papers.columns,
-        F.when(valid, strip(F.col("_summary.text"))).alias("summary"),
-        F.col("_summary.error").alias("label_error"),
-    )
-    errors = [F.col("label_error")]
-    for name, wanted, prompt in [
-        ("methods", include_methods, methods_prompt),
-        ("results", include_results, results_prompt),
-    ]:
-        if wanted:
-            asked = F.when(F.col("summary").isNotNull(), prompt(source))
-            labelled = labelled.withColumn(f"_{name}", predict(asked))
-            labelled = labelled.withColumn(name, strip_to_null(F.col(f"_{name}.text")))
-            errors.append(F.col(f"_{name}.error"))
-    kept = [c for c in ("summary", "methods", "results") if c in labelled.columns]
-    return labelled.select(*papers.columns, *kept, F.coalesce(*errors).alias("label_error"))
-
-
-def extractive_struct(text: Column) -> Column:
-    """The native stand-in for a predictor: same shape, never an error."""
-    return F.struct(extractive_summary(text).alias("text"), F.lit(None).cast("string").alias("error"))
+        drafted = papers.withColumn("_draft", predict(guarded))
+    draft = F.col("_draft.texts")[0]
+    summary = F.when(is_valid_summary(draft, min_words, max_words), strip(draft))
+    labelled = drafted.withColumn("summary", summary)
+    error = F.col("_draft.errors")[0]
+
+    prompts = {}
+    if include_methods:
+        prompts["methods"] = methods_prompt(source)
+    if include_results:
+        prompts["results"] = results_prompt(source)
+    if prompts:
+        asked = F.array(*[F.when(F.col("summary").isNotNull(), prompt) for prompt in prompts.values()])
+        labelled = labelled.withColumn("_answers", predict(asked))
+        for i, name in enumerate(prompts):
+            labelled = labelled.withColumn(name, strip_to_null(F.col("_answers.texts")[i]))
+            error = F.coalesce(error, F.col("_answers.errors")[i])
+    return labelled.select(*papers.columns, "summary", *prompts, error.alias("label_error"))
 
 
 def fill_fallback(labelled: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from quillset.session import with_computed
 ROUGE_TOKEN = "[a-z0-9]+"
 LINE_SEPARATOR = "\n"
 SCORE_DECIMALS = 2
+SIDES = ("prediction", "reference")
 METRICS = ("rouge1", "rouge2", "rougeL", "rougeLsum")
 
 
@@ -81,13 +82,11 @@ def rouge_scores(
     """
     # A given number of partitions keeps the work on tokens spread, however few bytes the texts have.
     partitions = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    lined = with_computed(
-        pairs.select(key, "prediction", "reference").repartition(partitions, key),
-        prediction_lines=_lines(F.col("prediction"), stemmed),
-        reference_lines=_lines(F.col("reference"), stemmed),
-    )
+    texts = pairs.select(key, F.array("prediction", "reference").alias("texts")).repartition(partitions, key)
+    lined = with_computed(texts, lines=F.transform("texts", lambda text: _lines(text, stemmed)))
     tokenized = with_computed(
-        lined, prediction=F.flatten("prediction_lines"), reference=F.flatten("reference_lines")
+        lined.select(key, *[F.col("lines")[i].alias(f"{side}_lines") for i, side in enumerate(SIDES)]),
+        **{side: F.flatten(f"{side}_lines") for side in SIDES},
     )
     predicted, expected = F.size("prediction"), F.size("reference")
     entries = []
