@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # These patterns, phrases, templates and limits decide the results.
-# Single characters and one property per class: ranges make Java's matcher several times slower.
+# Single characters and few properties per class: ranges make Java's matcher several times slower.
+# Possessive repeats do not walk back through a text after an unmatched opening sign.
 WHITESPACE = r"[\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\p{Z}]"
 NON_WHITESPACE = r"[^\s\p{Z}\x1c\x1d\x1e\x1f\x85]"
-WORD_CHARACTER = r"[\p{L}\p{N}_]"
-CITATION = r"\\cite\{[^}]+\}"
-INLINE_MATH = r"\$[^$]+\$"
+WORD_CHARACTER = "[" + string.ascii_letters + string.digits + r"_\p{L}\p{N}]"
+CITATION = r"\\cite\{[^}]++\}"
+INLINE_MATH = r"\$[^$]++\$"
 SENTENCE_END = r"[.!?]+"
 PLACEHOLDERS = ["unable to generate", "error occurred", "could not summarize"]
 METHODS_PROMPT = "Extract the research methods used: "

@@ -78,7 +78,9 @@ def rouge_scores(
 
     Texts are shuffled once, by key, and tokenized once for all metrics. The n-grams of both sides are
     then counted together, without a join, and since they stay with their key the counting needs no
-    further shuffle. A common subsequence has its overlap already and passes through the same totals.
+    further shuffle. A common subsequence has its overlap already and passes through the same totals;
+    as Python evaluation loses the partitioning, the tokens are dealt out by key again after it, still
+    packed as text and not yet spread into n-grams.
     """
     # A given number of partitions keeps the work on tokens spread, however few bytes the texts have.
     partitions = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -88,20 +90,27 @@ def rouge_scores(
         lined.select(key, *[F.col("lines")[i].alias(f"{side}_lines") for i, side in enumerate(SIDES)]),
         **{side: F.flatten(f"{side}_lines") for side in SIDES},
     )
-    predicted, expected = F.size("prediction"), F.size("reference")
-    entries = []
-    for metric in metrics:
-        if metric == "rougeL":
-            tokenized = tokenized.withColumn("_lcs", lcs_length(F.col("reference"), F.col("prediction")))
-            entries.append(F.array(_entry(metric, F.lit(None), predicted, expected, F.col("_lcs"))))
-        elif metric == "rougeLsum":
-            union = summary_lcs_length(F.col("reference_lines"), F.col("prediction_lines"))
-            tokenized = tokenized.withColumn("_union_lcs", union)
-            entries.append(F.array(_entry(metric, F.lit(None), predicted, expected, F.col("_union_lcs"))))
-        else:
-            entries += _ngram_entries(metric, int(metric.removeprefix("rouge")))
+    overlaps = {
+        "rougeL": lcs_length(F.col("reference"), F.col("prediction")),
+        "rougeLsum": summary_lcs_length(F.col("reference_lines"), F.col("prediction_lines")),
+    }
+    subsequences = {metric: overlaps[metric] for metric in metrics if metric in overlaps}
+    ngram_sizes = {metric: int(metric.removeprefix("rouge")) for metric in metrics if metric not in overlaps}
+    if subsequences:
+        tokenized = tokenized.select(key, *SIDES, *[hits.alias(metric) for metric, hits in subsequences.items()])
+    if subsequences and ngram_sizes:
+        packed = tokenized.select(key, *[F.array_join(side, " ").alias(side) for side in SIDES], *subsequences)
+        tokenized = with_computed(
+            packed.repartition(partitions, key),
+            **{side: F.filter(F.split(side, " "), lambda token: token != "") for side in SIDES},
+        )
+
+    sizes = [F.size(side) for side in SIDES]
+    entries = [F.array(_entry(metric, F.lit(None), *sizes, F.col(metric))) for metric in subsequences]
+    for metric, n in ngram_sizes.items():
+        entries += _ngram_entries(metric, n)
     spread = tokenized.select(key, F.inline(F.concat(*entries)))
-    if any(metric not in ("rougeL", "rougeLsum") for metric in metrics):
+    if ngram_sizes:
         counts = spread.groupBy(key, "metric", "gram").agg(
             F.sum("predicted").alias("predicted"), F.sum("expected").alias("expected"), F.max("overlap").alias("overlap")
         )

@@ -18,7 +18,7 @@ SNAPSHOT_NAME = "arxiv_%Y%m%d_%H%M%S.jsonl"
 def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
     """Paths on any file system Spark can read; metadata only."""
     path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).globStatus(path)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
     return sorted(status.getPath().toString() for status in found or [])
 
 

@@ -10,6 +10,7 @@ def make_session() -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.maxConcurrentOutputFileWriters", "8")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

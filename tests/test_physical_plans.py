@@ -63,6 +63,14 @@ def test_rouge_on_stored_pairs_shuffles_once(spark):
     assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
 
 
+def test_python_metrics_never_shuffle_ngrams(spark):
+    pairs = tables.table(spark, SF, "documents").selectExpr("doc_id as id", "text as prediction", "source as reference")
+    text = plan(rouge_scores(pairs))
+    exchanges = re.findall(r"\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", text)
+    assert len(exchanges) == 2 and not any("gram" in columns for columns in exchanges)
+    assert count(r"\) Exchange", plan(rouge_scores(pairs, ("rougeL",)))) == 1
+
+
 PYTHON = {"label_with_model", "truncate_custom_tokens", "rougeL", "rougeLsum", "rouge_corpus_stem"}
 
 
