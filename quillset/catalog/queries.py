@@ -52,7 +52,8 @@ def roundtrip_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "papers.jsonl")
     rows = jsonl.write_jsonl(tables.papers(spark, sf_dir), path)
     stored = jsonl.read_jsonl(spark, path, PREPARED_PAPER)
-    return stored.select("id", "title", "abstract", "abs_words", joined("categories"), F.lit(rows).alias("rows_written"))
+    written = F.lit(rows).alias("rows_written")
+    return stored.select("id", "title", "abstract", "abs_words", joined("categories"), written)
 
 
 def roundtrip_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -57,8 +57,9 @@ def predictor_column(factory: PredictorFactory, batch_size: int = BATCH_SIZE) ->
                     outputs[i] = output
             remaining = iter(outputs)
             rows = [[next(remaining) for _ in row] for row in batch]
-            columns = {name: [[output[k] for output in row] for row in rows] for k, name in enumerate(["texts", "errors"])}
-            yield pd.DataFrame(columns)
+            texts_of = [[text for text, _ in row] for row in rows]
+            errors_of = [[error for _, error in row] for row in rows]
+            yield pd.DataFrame({"texts": texts_of, "errors": errors_of})
 
     # Marked nondeterministic so that no optimisation runs the model twice on a row.
     return run.asNondeterministic()
@@ -116,7 +117,8 @@ def label_papers(
 def fill_fallback(labelled: DataFrame) -> DataFrame:
     """Extract a summary where there is none. A blank one counts as present; the result is not validated."""
     missing = F.col("summary").isNull() | (F.col("summary") == "")
-    return labelled.withColumn("summary", F.when(missing, extractive_summary(F.col("abstract"))).otherwise(F.col("summary")))
+    filled = F.when(missing, extractive_summary(F.col("abstract"))).otherwise(F.col("summary"))
+    return labelled.withColumn("summary", filled)
 
 
 def attach_labels(papers: DataFrame, labels: DataFrame, key: str = "id") -> DataFrame:

@@ -112,7 +112,9 @@ def rouge_scores(
     spread = tokenized.select(key, F.inline(F.concat(*entries)))
     if ngram_sizes:
         counts = spread.groupBy(key, "metric", "gram").agg(
-            F.sum("predicted").alias("predicted"), F.sum("expected").alias("expected"), F.max("overlap").alias("overlap")
+            F.sum("predicted").alias("predicted"),
+            F.sum("expected").alias("expected"),
+            F.max("overlap").alias("overlap"),
         )
         shared = F.coalesce("overlap", F.least("predicted", "expected"))
         spread = counts.groupBy(key, "metric").agg(
