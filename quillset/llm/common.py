@@ -22,6 +22,19 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % FOLDS == 0, F.lit(True))
 
 
+def bounded_sample(rows: DataFrame, id_col: str, label: str, size: int) -> tuple[DataFrame, dict]:
+    """About ``size`` rows of each label, drawn by hash of the id, never more than twice that on average over the labels.
+
+    Returns the sample and the counts of all rows by label. Labels are few: their counts come to the driver.
+    """
+    counts = {r[0]: r[1] for r in rows.filter(F.col(label).isNotNull()).groupBy(label).count().collect()}
+    if not counts:
+        return rows.limit(0), counts
+    shares = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, size / n)])
+    draw = F.xxhash64(F.col(id_col)) / F.lit(2.0**64) + 0.5
+    return rows.filter(draw < F.element_at(shares, F.col(label))).limit(2 * size * len(counts)), counts
+
+
 def text_tag(text_col: str) -> Column:
     """32 bits of the text: with the id it tells rows that share an id apart."""
     return F.hash(text_col)

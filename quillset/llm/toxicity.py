@@ -17,11 +17,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillset.llm.common import add_columns, held_out
+from quillset.llm.common import add_columns, bounded_sample, held_out
+from quillset.session import stage
 
 #: Labelled rows of each kind that the model is fitted on, at most.
 SAMPLE_ROWS = 8000
@@ -34,6 +35,7 @@ PREFIXES = (4, 5)
 LEAST_TEXTS = 3
 LEAST_G = 12.0
 FREQUENT_TERMS = 512
+MOST_TERMS = 20_000
 CACHED_WORDS = 300_000
 
 find_words = re.compile(r"\w+").findall
@@ -89,67 +91,74 @@ class FactorizationMachine:
         return float(self.bias + self.weights[rows].sum() + 0.5 * (total @ total - (v * v).sum()))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, id_col: str, rows: int) -> DataFrame:
-    """At most about ``rows`` ids with their label of each kind, from the folds that may be learned from.
-
-    Chosen by hash of the id; an id with several labels has the largest. Its size is bounded by ``rows``, so it is
-    broadcast, and the texts are not shuffled to find their labels.
-    """
-    known = labels.filter(F.col(label).isin(0, 1) & ~held_out(id_col))
-    known = known.groupBy(id_col).agg(F.max(label).alias("label"))
-    counts = {r[0]: r[1] for r in known.groupBy("label").count().collect()}
-    draw = (F.xxhash64(F.col(id_col)) / 2.0**64) + 0.5
-    parts = [known.filter((F.col("label") == k) & (draw < rows / n)).limit(2 * rows) for k, n in counts.items()]
-    if not parts:
-        parts = [known]
-    sample = parts[0]
-    for part in parts[1:]:
-        sample = sample.union(part)
-    return docs.join(F.broadcast(sample), id_col).limit(4 * rows)
-
-
 def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", label="toxic", rows=SAMPLE_ROWS):
     """A machine learned from ``labels`` (id, 0 or 1), never from rows of the held-out fold.
 
-    The executors hash the texts of the sample; the driver gets the hashed terms of ``rows`` texts of each kind.
+    An id with several labels has the largest. The sample of ids is bounded by ``rows`` of each kind, so it is
+    broadcast, and the texts are not shuffled to find their labels. The executors hash the texts and count the terms;
+    the driver gets at most ``MOST_TERMS`` terms and which of them the sampled texts hold.
     """
     from quillset.llm.toxicity import text_terms
 
+    known = labels.filter(F.col(label).isin(0, 1) & ~held_out(id_col))
+    known = known.groupBy(id_col).agg(F.max(F.col(label).cast("int")).alias("label"))
+    sample, shares = bounded_sample(known, id_col, "label", rows)
+    toxic, clean = shares.get(1, 0), shares.get(0, 0)
+    if not toxic or not clean:
+        return constant(toxic, clean)
+
     def hashed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             yield pd.DataFrame({"terms": [text_terms(t) for t in frame["text"]], "label": frame["label"]})
 
-    known = labels.select(id_col, label)
-    sample = labelled_sample(docs.select(id_col, F.col(text_col).alias("text")), known, label, id_col, rows)
-    got = sample.select("text", "label").mapInPandas(hashed, "terms array<int>, label int").toPandas()
-    shares = {r[0]: r[1] for r in known.filter(~held_out(id_col)).groupBy(label).count().collect()}
-    toxic, clean = shares.get(1, 0), shares.get(0, 0)
-    return learn(list(got["terms"]), got["label"].to_numpy(float), toxic, clean)
+    texts = docs.select(id_col, F.col(text_col).alias("text")).join(F.broadcast(sample), id_col).limit(4 * rows)
+    held = stage(texts.select("text", "label").mapInPandas(hashed, "terms array<int>, label int"), "toxicity-sample")
+    terms = informative_terms(held)
+    shared = docs.sparkSession.sparkContext.broadcast(terms)
+
+    def narrowed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            frame["terms"] = [np.flatnonzero(np.isin(shared.value, t)).astype(np.int32) for t in frame["terms"]]
+            yield frame
+
+    got = held.mapInPandas(narrowed, "terms array<int>, label int").toArrow()
+    lists = [np.asarray(x, dtype=np.int64) for x in got.column("terms").to_pylist()]
+    return learn(lists, np.asarray(got.column("label").to_pylist(), float), terms, toxic, clean)
+
+
+def informative_terms(held: DataFrame) -> np.ndarray:
+    """The hashed terms that take part, sorted: those that go with the label, and the most frequent ones."""
+    sums = held.agg(F.sum("label"), F.count(F.lit(1))).first()
+    n1, n = float(sums[0] or 0), float(sums[1])
+    counts = held.select("label", F.explode("terms").alias("term")).groupBy("term")
+    counts = counts.agg(F.sum("label").cast("double").alias("pos"), F.count(F.lit(1)).cast("double").alias("seen"))
+
+    def part(found: Column, share: float) -> Column:
+        return F.when(found > 0, found * F.log(found / (F.col("seen") * share))).otherwise(0.0)
+
+    share = min(max(n1 / max(n, 1), 1e-9), 1 - 1e-9)
+    g = 2 * (part(F.col("pos"), share) + part(F.col("seen") - F.col("pos"), 1 - share))
+    counts = counts.filter(F.col("seen") >= LEAST_TEXTS).withColumn("g", g)
+    telling = counts.filter(F.col("g") >= LEAST_G).orderBy(F.desc("g"), "term").limit(MOST_TERMS)
+    often = counts.orderBy(F.desc("seen"), "term").limit(FREQUENT_TERMS)
+    return np.array(sorted({r[0] for r in telling.select("term").union(often.select("term")).collect()}), dtype=np.int64)
+
+
+def constant(toxic: int, clean: int) -> FactorizationMachine:
+    share = min(max(toxic / max(1, toxic + clean), 1e-6), 1 - 1e-6)
+    none = np.zeros(0)
+    return FactorizationMachine(float(np.log(share / (1 - share))), none.astype(int), none, np.zeros((0, FACTORS)))
 
 
-def learn(rows: list[np.ndarray], y: np.ndarray, toxic: int, clean: int, epochs=14, seed=7) -> FactorizationMachine:
-    """Fit by AdaGrad with an L1 step; ``toxic`` and ``clean`` are the label counts that set the bias."""
+def learn(
+    rows: list[np.ndarray], y: np.ndarray, terms: np.ndarray, toxic: int, clean: int, epochs=14, seed=7
+) -> FactorizationMachine:
+    """Fit by AdaGrad with an L1 step. ``rows`` number the ``terms``; the label counts correct the bias of the sample."""
     n1, n0 = float(y.sum()), float(len(y) - y.sum())
     if not n1 or not n0:
-        share = min(max(toxic / max(1, toxic + clean), 1e-6), 1 - 1e-6)
-        none = np.zeros(0)
-        return FactorizationMachine(float(np.log(share / (1 - share))), none.astype(int), none, np.zeros((0, FACTORS)))
+        return constant(toxic, clean)
     order = np.random.default_rng(seed).permutation(len(y))
-    rows, y = [np.asarray(rows[i], dtype=np.int64) for i in order], y[order]
-    flat = np.concatenate(rows)
-    sizes = np.array([len(r) for r in rows])
-    pos = np.bincount(flat[np.repeat(y > 0, sizes)], minlength=1 << HASH_BITS).astype(float)
-    neg = np.bincount(flat[np.repeat(y == 0, sizes)], minlength=1 << HASH_BITS).astype(float)
-    seen = pos + neg
-    want1, want0 = seen * n1 / (n1 + n0), seen * n0 / (n1 + n0)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        g = 2 * (np.where(pos > 0, pos * np.log(pos / want1), 0) + np.where(neg > 0, neg * np.log(neg / want0), 0))
-    often = np.argsort(-seen, kind="stable")[:FREQUENT_TERMS]
-    chosen = (seen >= LEAST_TEXTS) & (g >= LEAST_G)
-    chosen[often] = seen[often] >= LEAST_TEXTS
-    terms = np.flatnonzero(chosen)
-    column = np.cumsum(chosen) - 1
-    rows = [column[r[chosen[r]]] for r in rows]
+    rows, y = [rows[i] for i in order], y[order]
     rng = np.random.default_rng(seed)
     w, v, bias = np.zeros(len(terms)), rng.normal(0, 0.01, (len(terms), FACTORS)), 0.0
     gw, gv, gb = np.full(len(terms), 1.0), np.full(v.shape, 1.0), 1.0
