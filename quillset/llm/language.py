@@ -13,7 +13,7 @@ with score 0. Without any labelled row every text is ``und``.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -34,6 +34,8 @@ UNKNOWN = 1e-7
 UNDETERMINED = "und"
 CACHED_WORDS = 300_000
 WORDS_AT_ONCE = 5_000
+#: Words of texts that are looked up together.
+MEETING_WORDS = 100_000
 START = "▁"
 
 find_words = re.compile(r"[^\W\d_]+").findall
@@ -57,6 +59,41 @@ def text_words(text: str | None) -> list[str]:
     return [w[i : i + WORD_LETTERS] for w in words for i in range(0, len(w), WORD_LETTERS)]
 
 
+def piece_hashes(letters: np.ndarray) -> Iterator[np.ndarray]:
+    """For 1, 2, ... ``PIECE_LETTERS`` letters: the hash of that many letters from each place on."""
+    value = (letters.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    value ^= value >> np.uint64(32)
+    hashes = np.zeros(len(letters) + 1, np.uint64)
+    for size in range(1, PIECE_LETTERS + 1):
+        hashes = hashes[:-1] * np.uint64(0xD1342543DE82EF95) + value[size - 1 :]
+        yield hashes
+
+
+class PieceTable:
+    """Numbers of pieces by the hash of their letters; a bitmap turns most other strings away."""
+
+    BITS = 18
+
+    def __init__(self, pieces: list[str]):
+        self.pieces = pieces
+        hashes = np.zeros(len(pieces), np.uint64)
+        for i, p in enumerate(pieces):
+            letters = np.frombuffer(p.encode("utf-32-le"), "<u4")
+            hashes[i] = list(piece_hashes(letters))[len(p) - 1][0]
+        self.order = np.argsort(hashes)
+        self.hashes = hashes[self.order]
+        self.seen = np.zeros(1 << self.BITS, bool)
+        self.seen[self.hashes >> np.uint64(64 - self.BITS)] = True
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        out = np.full(len(hashes), -1, np.int64)
+        maybe = np.flatnonzero(self.seen[hashes >> np.uint64(64 - self.BITS)])
+        at = np.minimum(np.searchsorted(self.hashes, hashes[maybe]), len(self.hashes) - 1)
+        hit = self.hashes[at] == hashes[maybe]
+        out[maybe[hit]] = self.order[at[hit]]
+        return out
+
+
 @dataclass
 class Lattice:
     """All segmentations of some words: edges from ``start`` to ``end`` by ``piece``, ordered by end."""
@@ -68,23 +105,24 @@ class Lattice:
     length: np.ndarray
 
     @classmethod
-    def of(cls, words: list[str], index: dict[str, int]) -> Lattice:
-        edges: list[tuple[int, int, int, int]] = []
-        unknown = len(index)
-        get = index.get
-        for w, plain in enumerate(words):
-            s = START + plain
-            n = len(s)
-            for i in range(n):
-                if s[i] not in index:
-                    edges.append((i + 1, w, i, unknown))
-                for j in range(i + 1, min(i + PIECE_LETTERS, n) + 1):
-                    p = get(s[i:j])
-                    if p is not None:
-                        edges.append((j, w, i, p))
-        table = np.array(edges, dtype=np.int32).reshape(-1, 4)
-        table = table[np.argsort(table[:, 0], kind="stable")]
-        return cls(table[:, 1], table[:, 2], table[:, 0], table[:, 3], np.array([len(w) + 1 for w in words]))
+    def of(cls, words: list[str], pieces: PieceTable) -> Lattice:
+        """The pieces at all places of all words at once, length by length."""
+        length = np.array([len(w) + 1 for w in words], dtype=np.int64)
+        letters = np.frombuffer("".join(START + w for w in words).encode("utf-32-le", "surrogatepass"), "<u4")
+        word = np.repeat(np.arange(len(words)), length)
+        start = np.arange(len(letters)) - np.repeat(np.cumsum(length) - length, length)
+        room = length[word] - start
+        parts = []
+        for size, hashes in enumerate(piece_hashes(letters), 1):
+            fits = np.flatnonzero(room[: len(hashes)] >= size)
+            found = pieces.find(hashes[fits])
+            if size == 1:
+                found = np.where(found < 0, len(pieces.pieces), found)
+            hit = found >= 0
+            parts.append((word[fits[hit]], start[fits[hit]], start[fits[hit]] + size, found[hit]))
+        w, i, j, p = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(j * len(words) + w, kind="stable")
+        return cls(w[order], i[order], j[order], p[order], length)
 
     def slices(self) -> list[slice]:
         cuts = np.flatnonzero(np.diff(self.end)) + 1
@@ -120,46 +158,49 @@ class Lattice:
 @dataclass
 class LanguageModel:
     languages: list[str]
-    index: dict[str, int]
+    pieces: PieceTable
     chance: np.ndarray
     known: dict[str, int] = field(default_factory=dict)
-    logs: list[np.ndarray] = field(default_factory=list)
+    logs: np.ndarray | None = None
 
-    def word_logs(self, words: list[str]) -> None:
-        """Make the log chances of words known."""
-        fresh = [w for w in dict.fromkeys(words) if w not in self.known]
+    def meet(self, words: set[str]) -> None:
+        """Make the log chances of words known; a full memory starts anew."""
+        fresh = sorted(words - self.known.keys())
         if len(self.known) + len(fresh) > CACHED_WORDS:
             self.known.clear()
-            self.logs.clear()
-            fresh = list(dict.fromkeys(words))
+            fresh = sorted(words)
+        found = [np.zeros((0, len(self.languages))) if self.logs is None or not self.known else self.logs]
         for at in range(0, len(fresh), WORDS_AT_ONCE):
-            part = fresh[at : at + WORDS_AT_ONCE]
-            logs = np.log(np.maximum(Lattice.of(part, self.index).chances(self.chance), 1e-300))
-            first = len(self.known)
-            self.known.update({w: first + i for i, w in enumerate(part)})
-            self.logs.append(logs)
-        if len(self.logs) > 1:
-            self.logs[:] = [np.concatenate(self.logs)]
+            chances = Lattice.of(fresh[at : at + WORDS_AT_ONCE], self.pieces).chances(self.chance)
+            found.append(np.log(np.maximum(chances, 1e-300)))
+        self.known.update({w: len(found[0]) + i for i, w in enumerate(fresh)})
+        self.logs = np.concatenate(found) if len(found) > 1 else found[0]
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         names, scores = [], np.zeros(len(texts))
+        held: list[list[str]] = []
         for i, text in enumerate(texts):
-            words = text_words(text)
-            if not words or not self.languages:
-                names.append(UNDETERMINED)
-                continue
-            self.word_logs(words)
-            rows = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-            total = self.logs[0][rows].sum(0)
-            best = int(np.argmax(total))
-            names.append(self.languages[best])
-            scores[i] = 1 / np.exp(total - total[best]).sum()
+            held.append(text_words(text))
+            if sum(map(len, held)) >= MEETING_WORDS or i + 1 == len(texts):
+                self.meet(set().union(*held))
+                for words in held:
+                    language, scores[len(names)] = self.of_words(words)
+                    names.append(language)
+                held = []
         return names, scores
 
+    def of_words(self, words: list[str]) -> tuple[str, float]:
+        if not words or not self.languages:
+            return UNDETERMINED, 0.0
+        rows = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        total = self.logs[rows].sum(0)
+        best = int(np.argmax(total))
+        return self.languages[best], float(1 / np.exp(total - total[best]).sum())
+
 
 def learn(words: dict[str, dict[str, int]], pieces: list[str], rounds: int = ROUNDS) -> LanguageModel:
     """Piece probabilities from word counts by language."""
-    index = {p: i for i, p in enumerate(pieces)}
+    table = PieceTable(pieces)
     languages = sorted(words)
     chance = np.empty((len(pieces) + 1, len(languages)))
     for k, language in enumerate(languages):
@@ -170,10 +211,10 @@ def learn(words: dict[str, dict[str, int]], pieces: list[str], rounds: int = ROU
             expected = np.full(len(pieces) + 1, SMOOTHING)
             for at in range(0, len(texts), WORDS_AT_ONCE):
                 part = slice(at, at + WORDS_AT_ONCE)
-                expected += Lattice.of(texts[part], index).expected(own, counts[part])
+                expected += Lattice.of(texts[part], table).expected(own, counts[part])
             own[:-1, 0] = expected[:-1] / expected[:-1].sum()
         chance[:, k] = own[:, 0]
-    return LanguageModel(languages, index, chance)
+    return LanguageModel(languages, table, chance)
 
 
 def fit(
