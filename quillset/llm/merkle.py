@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillset.session import stage
@@ -51,12 +51,7 @@ def warc_records(pages: DataFrame, id_col="page_id", url_col="url", body_col="ht
 
 
 def placed(records: DataFrame) -> DataFrame:
-    """``offset`` of each record in its file, in the order of the ids: a running sum over a bounded file.
-
-    The payloads are not shuffled: offsets are summed over (file, id, length) and joined by id.
-    """
-    from pyspark.sql import Window
-
+    """``offset`` of each record in its file, in the order of the ids: a running sum over a bounded file."""
     before = Window.partitionBy("file").orderBy("record_id").rowsBetween(Window.unboundedPreceding, -1)
     return records.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)))
 

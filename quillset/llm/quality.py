@@ -155,7 +155,7 @@ def fit(docs: DataFrame, ratings: DataFrame, id_col="doc_id", text_col="text", g
     if len(counts) < 2:
         return OrdinalModel(np.zeros(SIZE), np.zeros(0), min(counts, default=0))
     texts = docs.select(id_col, F.col(text_col).alias("text")).join(F.broadcast(sample), id_col)
-    texts = texts.limit(4 * rows * len(counts)).select("text", "grade")
+    texts = texts.select("text", "grade")
 
     def load():
         terms = featurizer()
@@ -168,7 +168,8 @@ def fit(docs: DataFrame, ratings: DataFrame, id_col="doc_id", text_col="text", g
 
     lists = [("terms", T.ArrayType(T.IntegerType())), ("values", T.ArrayType(T.FloatType()))]
     held = texts.withColumn("terms", F.col("text")).drop("text")
-    got = add_columns(held, load, "terms", [T.StructField(*x) for x in lists]).toArrow().combine_chunks()
+    got = add_columns(held, load, "terms", [T.StructField(*x) for x in lists])
+    got = got.limit(4 * rows * len(counts)).toArrow().combine_chunks()
     terms, values = (got.column(c).combine_chunks() for c in ("terms", "values"))
     starts = np.concatenate(([0], np.cumsum(terms.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))))
     grade = got.column("grade").to_numpy()

@@ -7,8 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillset.llm import decontaminate, embedding_dedup, language, packing, simhash, suffix_dedup, toxicity
+from quillset.llm import (
+    decontaminate,
+    embedding_dedup,
+    html_extract,
+    language,
+    merkle,
+    packing,
+    quality,
+    simhash,
+    suffix_dedup,
+    toxicity,
+)
 from quillset.llm.common import held_out
+from quillset.session import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +41,25 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def grades(labels: DataFrame) -> DataFrame:
+    """Graded ratings: 0 poor, 1 good but toxic, 2 good."""
+    toxic = F.coalesce(F.col("toxic"), F.lit(0))
+    grade = F.when(F.col("quality") == 0, 0).when(F.col("quality") == 1, 2 - toxic)
+    return labels.select("doc_id", grade.alias("grade"))
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, grades(table(spark, sf_dir, "labels")))
+    return quality.rate(docs, model).select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
+        "expected_grade",
+        "tail_probability",
+        (F.col("tail_probability") >= quality.LEAST_TAIL).alias("selected"),
+    )
+
+
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -46,12 +77,36 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged(records: DataFrame) -> DataFrame:
+    """A replica in which some records are gone, some have a wrong byte, some end early and some are new."""
+    key, payload = F.col("record_id"), F.col("payload")
+    broken = (
+        F.when(key % 101 == 7, F.concat(F.lit("X").cast("binary"), F.substring(payload, 2, 1 << 30)))
+        .when(key % 103 == 5, F.substring(payload, 1, F.octet_length(payload) - 1))
+        .otherwise(payload)
+    )
+    kept = records.filter(F.coalesce(key % 97 != 3, F.lit(True))).withColumn("payload", broken)
+    new = records.filter(key % 107 == 11).withColumn("offset", F.col("offset") + 1)
+    return kept.union(new)
+
+
+def op5_warc_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = stage(merkle.placed(merkle.warc_records(table(spark, sf_dir, "pages"))), "records")
+    return merkle.audit(records, damaged(records))
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     found = language.identify(docs.drop("lang"), language.fit(docs))
     return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = html_extract.extract(pages, html_extract.fit())
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -74,12 +129,36 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_quality": op2_quality,
     "op3_embedding_dedup": op3_embedding_dedup,
     "op4_decontaminate": op4_decontaminate,
+    "op5_warc_merkle": op5_warc_merkle,
     "op6_language": op6_language,
+    "op7_html_extract": op7_html_extract,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_toxicity": op9_toxicity,
     "op10_simhash": op10_simhash,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_warc_merkle": """
+        WITH sized AS (
+            SELECT page_id AS record_id, page_id // 500 AS file,
+                octet_length(encode(concat('WARC/1.0', chr(13), chr(10), 'WARC-Type: response', chr(13), chr(10),
+                    'WARC-Record-ID: <urn:page:', page_id, '>', chr(13), chr(10), 'WARC-Target-URI: ', url,
+                    chr(13), chr(10), 'Content-Length: ', octet_length(encode(html)), chr(13), chr(10), chr(13), chr(10),
+                    html, chr(13), chr(10), chr(13), chr(10)))) AS length
+            FROM pages
+        ), placed AS (
+            SELECT *, CAST(coalesce(sum(length) OVER (PARTITION BY file ORDER BY record_id
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset"
+            FROM sized
+        )
+        SELECT file, "offset", record_id, 'missing' AS damage FROM placed WHERE record_id % 97 = 3
+        UNION ALL
+        SELECT file, "offset", record_id, 'corrupt' AS damage FROM placed
+        WHERE record_id % 97 <> 3 AND (record_id % 101 = 7 OR record_id % 103 = 5)
+        UNION ALL
+        SELECT file, "offset" + 1 AS "offset", record_id, 'extra' AS damage FROM placed WHERE record_id % 107 = 11
+    """
+}

@@ -111,8 +111,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", la
         for frame in frames:
             yield pd.DataFrame({"terms": [text_terms(t) for t in frame["text"]], "label": frame["label"]})
 
-    texts = docs.select(id_col, F.col(text_col).alias("text")).join(F.broadcast(sample), id_col).limit(4 * rows)
-    held = stage(texts.select("text", "label").mapInPandas(hashed, "terms array<int>, label int"), "toxicity-sample")
+    texts = docs.select(id_col, F.col(text_col).alias("text")).join(F.broadcast(sample), id_col)
+    found = texts.select("text", "label").mapInPandas(hashed, "terms array<int>, label int")
+    held = stage(found.limit(4 * rows), "toxicity-sample")
     terms = informative_terms(held)
     shared = docs.sparkSession.sparkContext.broadcast(terms)
 
