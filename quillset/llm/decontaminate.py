@@ -192,24 +192,24 @@ def shards(items: DataFrame, id_col="item_id", text_col="text") -> list[list[tup
 
 
 def find_contamination(
-    docs: DataFrame, items: DataFrame, text_col="text", item_id="item_id", item_text="text", window: int = WINDOW
+    docs: DataFrame, items: DataFrame, text_col="text", item_id="item_id", item_text="text", window=WINDOW, out="hits"
 ) -> DataFrame:
-    """All columns of ``docs`` and ``hits``: (n_words, n_hit, longest, words, items).
+    """All columns of ``docs`` and ``out``: (n_words, n_hit, longest, words, items).
 
     ``words`` are the spans of covered words, ``longest`` the longest match in words, ``items`` the sorted ids of the
-    items with occurring windows. An existing column ``hits`` is replaced.
+    items with occurring windows. An existing column ``out`` is replaced.
     """
     found = None
     for shard in shards(items, item_id, item_text):
         shared = docs.sparkSession.sparkContext.broadcast(Automaton.of(shard, window))
-        found = scan(found if found is not None else docs.drop("hits"), shared, text_col, found is not None)
+        found = scan(docs.drop(out) if found is None else found, shared, text_col, out, found is not None)
     return found
 
 
-def scan(docs: DataFrame, shared, text_col: str, more: bool) -> DataFrame:
-    """One pass; with ``more``, what earlier passes found in column ``hits`` is joined."""
-    earlier = F.col("hits") if more else F.lit(None).cast(HIT)
-    pair = docs.withColumn("hits", F.struct(F.col(text_col).alias("text"), earlier.alias("earlier")))
+def scan(docs: DataFrame, shared, text_col: str, out: str, more: bool) -> DataFrame:
+    """One pass; with ``more``, what earlier passes found in column ``out`` is joined."""
+    earlier = F.col(out) if more else F.lit(None).cast(HIT)
+    pair = docs.withColumn(out, F.struct(F.col(text_col).alias("text"), earlier.alias("earlier")))
 
     def load():
         automaton = shared.value
@@ -219,7 +219,7 @@ def scan(docs: DataFrame, shared, text_col: str, more: bool) -> DataFrame:
 
         return scanned
 
-    return add_columns(pair, load, "hits", [T.StructField("hits", HIT)])
+    return add_columns(pair, load, out, [T.StructField(out, HIT)])
 
 
 def joined(n_words: int, spans: list, items: set, longest: int, earlier: dict | None) -> dict:
@@ -243,11 +243,12 @@ def clean(docs: DataFrame, items: DataFrame, text_col="text", coverage=MOST_COVE
 
     Where words are cut, what stood before and after is joined by the separators that were there.
     """
-    found = find_contamination(docs, items, text_col, **names)
-    share = F.col("hits.n_hit") / F.greatest(F.col("hits.n_words"), F.lit(1))
-    kept = found.filter((share <= coverage) & (F.col("hits.longest") <= words))
-    spans = F.when(F.size("hits.words") > 0, F.col("hits.words"))
-    pair = kept.withColumn(text_col, F.struct(F.col(text_col).alias("text"), spans.alias("words"))).drop("hits")
+    hits = "contamination_"
+    found = find_contamination(docs, items, text_col, out=hits, **names)
+    share = F.col(f"{hits}.n_hit") / F.greatest(F.col(f"{hits}.n_words"), F.lit(1))
+    kept = found.filter((share <= coverage) & (F.col(f"{hits}.longest") <= words))
+    spans = F.when(F.size(f"{hits}.words") > 0, F.col(f"{hits}.words"))
+    pair = kept.withColumn(text_col, F.struct(F.col(text_col).alias("text"), spans.alias("words"))).drop(hits)
     cut = add_columns(pair, lambda: cut_words, text_col, [T.StructField(text_col, T.StringType())])
     return cut.select(*docs.columns)
 
