@@ -96,7 +96,7 @@ def leaf_blocks(html: str | None) -> list[Block]:
                     links = 0
                     break
             continue
-        if tag in CLOSED_BY_SAME and path and path[-1][0] == tag:
+        if path and (path[-1][0] == "p" or tag in CLOSED_BY_SAME and path[-1][0] == tag):
             path.pop()
         words = {w.lower() for found in naming.findall(m[3]) for w in name_part.findall("".join(found))}
         path.append((tag, tuple(sorted(words))))
@@ -112,8 +112,9 @@ def features(block: Block) -> list[str]:
     for tag, words in block.path:
         found.add(f"in {tag}")
         found.update(f"named {w}" for w in words)
-    if block.path:
-        found.add(f"own {block.path[-1][0]}")
+    for tag, words in block.path[-2:]:
+        found.add(f"near {tag}")
+        found.update(f"near named {w}" for w in words)
     words = block.text.split()
     n = len(words)
     found.add("words " + ("1" if n < 2 else "2-4" if n < 5 else "5-9" if n < 10 else "10-19" if n < 20 else "20+"))
@@ -161,7 +162,7 @@ class Field:
         return " ".join(b.text for b, label in zip(blocks, self.decode(blocks), strict=True) if label)
 
 
-def train(pages: list[tuple[list[Block], list[int]]], rounds: int = 200, rate: float = 0.5, decay=1e-3) -> Field:
+def train(pages: list[tuple[list[Block], list[int]]], rounds: int = 400, rate: float = 0.5, decay=1e-4) -> Field:
     """Weights of the largest penalised likelihood, by full gradient steps with forward-backward expectations."""
     pages = [p for p in pages if p[0]]
     index: dict[str, int] = {}

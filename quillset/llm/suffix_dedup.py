@@ -13,8 +13,10 @@
    repeat, which is verified byte by byte.
 4. The repeated spans of each row are gathered and joined back to the text.
 
-A key with more than ``GROUP_ROWS`` blocks is not sorted in one task: its windows are hashed (128 bits) and counted by
-partial aggregation, which has no hot task and gives the same spans.
+A key with more than ``GROUP_ROWS`` blocks is not sorted in one task: its blocks are cut into finer ones, whose windows
+share more bytes. Equal finer blocks are one class and repeat (their bytes are the grouping key), those with a key of
+their own hold no repeat, and the rest is sorted or cut again, down to single windows, for which the classes are the
+answer. The classes are partial aggregates, so a passage in a third of all texts makes no hot task.
 
 Null texts are empty; texts shorter than ``length`` keep all bytes. Rows are told apart by id and text, so rows with a
 repeated or null id are documents of their own, and a row that occurs twice repeats itself wholly.
@@ -40,6 +42,8 @@ OWNED = 256
 BLOCK = 64
 #: Blocks of a key that are sorted in one task, at most.
 GROUP_ROWS = 128
+#: Window starts of the finer blocks into which keys with more blocks are cut, one after another.
+FINER = (16, 4, 1)
 #: Window starts hashed at once; longer texts are hashed piece by piece.
 PIECE = 1 << 20
 POSITION_BITS = 21
@@ -287,34 +291,57 @@ def repeats_in_blocks(frame: pd.DataFrame, length: int) -> pd.DataFrame:
 
 
 def sorted_repeats(found: DataFrame, length: int) -> DataFrame:
-    """Spans found by the suffix sort, and for hot keys by counting hashed windows."""
-    sizes = found.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("alone").alias("any_alone"))
-    sized = found.join(sizes.filter("n > 1 and any_alone"), "key")
+    """Spans found by the suffix sort; keys with many blocks are first cut into finer ones, by ``FINER``."""
     span = f"{ROW}, start long, end long"
 
     def sort(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in whole_groups(frames, ["key"], 4000):
             yield repeats_in_blocks(frame, length)
 
-    usual = sized.filter(F.col("n") <= GROUP_ROWS).select("key", "row_id", "tag", "start", "lead", "alone", "data")
-    usual = usual.repartition("key").sortWithinPartitions("key").mapInPandas(sort, span)
+    spans = None
+    columns = ["key", "row_id", "tag", "start", "lead", "alone", "data"]
+    for size in FINER:
+        sizes = found.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("alone").alias("any_alone"))
+        sized = found.join(sizes.filter("n > 1 and any_alone"), "key")
+        usual = sized.filter(F.col("n") <= GROUP_ROWS).select(columns)
+        usual = usual.repartition("key").sortWithinPartitions("key").mapInPandas(sort, span)
+        spans = usual if spans is None else spans.union(usual)
+        finer = stage(finer_blocks(sized.filter(F.col("n") > GROUP_ROWS).select(columns), size, length), "finer-blocks")
+        if finer.isEmpty():
+            break
+        same = ["key", "lead", "data"]
+        classes = finer.groupBy(*same).agg(
+            F.count(F.lit(1)).alias("members"),
+            F.max("alone").alias("any_alone"),
+            *[F.first(c).alias(c) for c in ("row_id", "tag", "start")],
+        )
+        copied = finer.filter("alone").join(classes.filter("members > 1").select(*same), same)
+        end = F.col("start") + F.octet_length("data")
+        spans = spans.union(copied.select("row_id", "tag", "start", end.alias("end")))
+        found = classes.withColumn("alone", F.col("any_alone") & (F.col("members") == 1)).select(columns)
+    return spans
+
+
+def finer_blocks(hot: DataFrame, size: int, length: int) -> DataFrame:
+    """Blocks cut into blocks of ``size`` window starts, keyed by the longer part that all their windows hold."""
 
-    def windows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
+            rows = []
             for x in frame.itertuples(index=False):
                 raw = as_bytes(x.data)
-                step = np.arange(len(raw) - length + 1)
-                one, two = (PrefixHashes(raw, seed).of(step, step + length).view(np.int64) for seed in (1, 2))
-                yield pd.DataFrame(
-                    {"key": x.key, "one": one, "two": two, "row_id": x.row_id, "tag": x.tag, "start": x.start + step}
-                ).assign(alone=x.alone)
-
-    hot = sized.filter(F.col("n") > GROUP_ROWS).select("key", "row_id", "tag", "start", "alone", "data")
-    hot = hot.mapInPandas(windows, f"key long, one long, two long, {ROW}, start long, alone boolean")
-    twice = hot.groupBy("key", "one", "two").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    hot = hot.filter("alone").join(twice, ["key", "one", "two"])
-    hot = hot.select("row_id", "tag", "start", (F.col("start") + length).alias("end"))
-    return usual.union(hot)
+                n = len(raw) - length + 1
+                part = np.arange((x.lead - n + 1) // size, x.lead // size + 1)
+                high, low = x.lead - part * size, x.lead - part * size - size + 1
+                cores = mixed(PrefixHashes(raw).of(high, low + length) + part.astype(np.uint64))
+                keys = (mixed(cores ^ np.int64(x.key).astype(np.uint64))).view(np.int64).tolist()
+                for key, top, a, b in zip(keys, high.tolist(), low.tolist(), high.tolist(), strict=True):
+                    a, b = max(a, 0), min(b, n - 1)
+                    piece = raw[a : b + length].tobytes()
+                    rows.append((key, x.row_id, x.tag, x.start + a, top - a, x.alone, piece))
+            yield pd.DataFrame(rows, columns=["key", "row_id", "tag", "start", "lead", "alone", "data"])
+
+    return hot.mapInPandas(cut, f"key long, {ROW}, start long, lead int, alone boolean, data binary")
 
 
 def remove_repeats(
