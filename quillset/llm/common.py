@@ -15,6 +15,8 @@ from pyspark.sql.pandas.types import to_arrow_type
 from quillset.session import stage
 
 FOLDS = 5
+#: Rows of a batch whose texts are Python objects at the same time.
+ROWS_AT_ONCE = 512
 
 
 def held_out(id_col: str) -> Column:
@@ -55,12 +57,13 @@ def add_columns(
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = load()
-        for batch in batches:
+        for batch in (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, ROWS_AT_ONCE)):
             made = compute(batch.column(batch.schema.get_field_index(source)).to_pylist())
             made = made if isinstance(made, tuple) else (made,)
             columns = [batch.column(batch.schema.get_field_index(c)) for c in kept]
             columns += [pa.array(x, type=kind) for x, kind in zip(made, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, names=[*kept, *[f.name for f in fields]])
+            pa.default_memory_pool().release_unused()
 
     return rest.mapInArrow(added, schema)
 

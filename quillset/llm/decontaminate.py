@@ -192,21 +192,23 @@ def shards(items: DataFrame, id_col="item_id", text_col="text") -> list[list[tup
 
 
 def find_contamination(
-    docs: DataFrame, items: DataFrame, text_col="text", item_id="item_id", item_text="text", window=WINDOW, out="hits"
+    docs: DataFrame, items: DataFrame, text_col="text", item_id="item_id", item_text="text", window=WINDOW, out="hits",
+    cut=False,
 ) -> DataFrame:
     """All columns of ``docs`` and ``out``: (n_words, n_hit, longest, words, items).
 
     ``words`` are the spans of covered words, ``longest`` the longest match in words, ``items`` the sorted ids of the
-    items with occurring windows. An existing column ``out`` is replaced.
+    items with occurring windows. With ``cut`` the covered words are cut from the text. An existing ``out`` is replaced.
     """
-    found = None
-    for shard in shards(items, item_id, item_text):
+    found = docs.drop(out)
+    parts = shards(items, item_id, item_text)
+    for i, shard in enumerate(parts):
         shared = docs.sparkSession.sparkContext.broadcast(Automaton.of(shard, window))
-        found = scan(docs.drop(out) if found is None else found, shared, text_col, out, found is not None)
+        found = scan(found, shared, text_col, out, more=i > 0, cut=cut and i + 1 == len(parts))
     return found
 
 
-def scan(docs: DataFrame, shared, text_col: str, out: str, more: bool) -> DataFrame:
+def scan(docs: DataFrame, shared, text_col: str, out: str, more: bool, cut: bool) -> DataFrame:
     """One pass; with ``more``, what earlier passes found in column ``out`` is joined."""
     earlier = F.col(out) if more else F.lit(None).cast(HIT)
     pair = docs.withColumn(out, F.struct(F.col(text_col).alias("text"), earlier.alias("earlier")))
@@ -214,12 +216,16 @@ def scan(docs: DataFrame, shared, text_col: str, out: str, more: bool) -> DataFr
     def load():
         automaton = shared.value
 
-        def scanned(rows: list[dict]) -> list[dict]:
-            return [joined(*automaton.scan(row["text"]), row["earlier"]) for row in rows]
+        def scanned(rows: list[dict]) -> tuple[list, ...]:
+            hits = [joined(*automaton.scan(row["text"]), row["earlier"]) for row in rows]
+            if not cut:
+                return (hits,)
+            return [cut_words(row["text"], hit["words"]) for row, hit in zip(rows, hits, strict=True)], hits
 
         return scanned
 
-    return add_columns(pair, load, out, [T.StructField(out, HIT)])
+    fields = [T.StructField(text_col, T.StringType())] * cut + [T.StructField(out, HIT)]
+    return add_columns(pair, load, out, fields)
 
 
 def joined(n_words: int, spans: list, items: set, longest: int, earlier: dict | None) -> dict:
@@ -244,27 +250,20 @@ def clean(docs: DataFrame, items: DataFrame, text_col="text", coverage=MOST_COVE
     Where words are cut, what stood before and after is joined by the separators that were there.
     """
     hits = "contamination_"
-    found = find_contamination(docs, items, text_col, out=hits, **names)
+    found = find_contamination(docs, items, text_col, out=hits, cut=True, **names)
     share = F.col(f"{hits}.n_hit") / F.greatest(F.col(f"{hits}.n_words"), F.lit(1))
     kept = found.filter((share <= coverage) & (F.col(f"{hits}.longest") <= words))
-    spans = F.when(F.size(f"{hits}.words") > 0, F.col(f"{hits}.words"))
-    pair = kept.withColumn(text_col, F.struct(F.col(text_col).alias("text"), spans.alias("words"))).drop(hits)
-    cut = add_columns(pair, lambda: cut_words, text_col, [T.StructField(text_col, T.StringType())])
-    return cut.select(*docs.columns)
-
-
-def cut_words(rows: list[dict]) -> list[str | None]:
-    out = []
-    for row in rows:
-        if not row["words"]:
-            out.append(row["text"])
-            continue
-        raw = row["text"].encode("utf-8", "surrogatepass")
-        places = [m.span() for m in word_spans(normal_bytes(row["text"]))]
-        at, parts = 0, []
-        for start, end in row["words"]:
-            parts.append(raw[at : places[start][0]])
-            at = places[end - 1][1]
-        parts.append(raw[at:])
-        out.append(b"".join(parts).decode("utf-8", "surrogatepass"))
-    return out
+    return kept.select(*docs.columns)
+
+
+def cut_words(text: str | None, spans: list) -> str | None:
+    if not spans:
+        return text
+    raw = text.encode("utf-8", "surrogatepass")
+    places = [m.span() for m in word_spans(normal_bytes(text))]
+    at, parts = 0, []
+    for start, end in spans:
+        parts.append(raw[at : places[start][0]])
+        at = places[end - 1][1]
+    parts.append(raw[at:])
+    return b"".join(parts).decode("utf-8", "surrogatepass")

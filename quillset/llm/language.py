@@ -32,7 +32,7 @@ WORD_LETTERS = 48
 SMOOTHING = 0.02
 UNKNOWN = 1e-7
 UNDETERMINED = "und"
-CACHED_WORDS = 300_000
+CACHED_WORDS = 100_000
 WORDS_AT_ONCE = 5_000
 #: Words of texts that are looked up together.
 MEETING_WORDS = 100_000

@@ -31,7 +31,7 @@ SHAPE_BITS = 10
 SIZE = (1 << WORD_BITS) + (1 << SHAPE_BITS)
 #: Texts with at least this chance of the wanted grade are selected.
 LEAST_TAIL = 0.5
-CACHED_TOKENS = 300_000
+CACHED_TOKENS = 100_000
 
 SHAPES = ((re.compile(r"[^\W\d_]+"), "a"), (re.compile(r"\d+"), "0"))
 

@@ -148,9 +148,9 @@ def blocks(wanted: DataFrame, docs: DataFrame, length: int) -> DataFrame:
 
     ``lead`` is how far the first start lies before the last one that the block could have.
     """
-    lists = wanted.groupBy("row_id", "tag").agg(
-        F.sort_array(F.collect_list(F.struct("start", "last", "place", "gram", "alone"))).alias("segments")
-    )
+    parts = ["start", "last", "place", "gram", "alone"]
+    packed = F.array("start", "last", "place", "gram", F.col("alone").cast("long"))
+    lists = wanted.groupBy("row_id", "tag").agg(F.flatten(F.collect_list(packed)).alias("segments"))
     joined = docs.join(lists.withColumnsRenamed({"row_id": "r", "tag": "t"}), F.expr("row_id = r and tag = t"))
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -158,16 +158,15 @@ def blocks(wanted: DataFrame, docs: DataFrame, length: int) -> DataFrame:
             rows = []
             for row_id, tag, text, found in zip(*[frame[c] for c in ("row_id", "tag", "text", "segments")], strict=True):
                 raw = as_bytes(text)
-                for s in found:
-                    start, last, place = s["start"], s["last"], s["place"]
+                for start, last, place, gram, alone in np.reshape(found, (-1, len(parts))).tolist():
                     core_hash = PrefixHashes(raw[start : last + length])
                     ends = np.arange(place, start - 1, -BLOCK)
                     ends = ends[ends - BLOCK < last]
                     cores = core_hash.of(ends - start, ends - start + length - BLOCK + 1)
-                    keys = mixed(cores + (place - ends).astype(np.uint64)).view(np.int64) ^ s["gram"]
+                    keys = mixed(cores + (place - ends).astype(np.uint64)).view(np.int64) ^ gram
                     for key, end in zip(keys.tolist(), ends.tolist(), strict=True):
                         low, high = max(start, end - BLOCK + 1), min(last, end)
-                        rows.append((key, row_id, tag, low, end - low, s["alone"], raw[low : high + length].tobytes()))
+                        rows.append((key, row_id, tag, low, end - low, alone > 0, raw[low : high + length].tobytes()))
                 if len(rows) > 5000:
                     yield pd.DataFrame(rows, columns=names)
                     rows = []
@@ -345,10 +344,12 @@ def finer_blocks(hot: DataFrame, size: int, length: int) -> DataFrame:
 
 
 def remove_repeats(
-    docs: DataFrame, id_col="doc_id", text_col="text", length: int = LENGTH, owned: int = OWNED
+    docs: DataFrame, id_col="doc_id", text_col="text", length: int = LENGTH, owned: int = OWNED, as_text=False
 ) -> DataFrame:
     """All columns of ``docs``, ``repeats`` (merged, sorted byte spans: start, end) and ``kept`` (the other bytes).
 
+    With ``as_text`` what is kept is text, without the halves of characters that a cut has broken.
+
     The id must be an integer. Texts are shuffled twice, each time joined by row with what was found in them. Columns
     named ``repeats`` or ``kept`` are replaced.
     """
@@ -379,8 +380,16 @@ def remove_repeats(
     joined = joined.withColumn("repeats", F.struct(F.col(text_col).alias("text"), "repeats"))
     joined = joined.drop("row_id_", "tag_", "span_row", "span_tag")
     kind = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
-    fields = [T.StructField("repeats", kind), T.StructField("kept", T.BinaryType())]
-    return add_columns(joined, lambda: cut_repeats, "repeats", fields)
+    fields = [T.StructField("repeats", kind), T.StructField("kept", T.StringType() if as_text else T.BinaryType())]
+
+    def load():
+        def cut(rows: list[dict]) -> tuple[list, list]:
+            spans, kept = cut_repeats(rows)
+            return spans, [k.decode("utf-8", "ignore") for k in kept] if as_text else kept
+
+        return cut
+
+    return add_columns(joined, load, "repeats", fields)
 
 
 def cut_repeats(rows: list[dict]) -> tuple[list, list]:
@@ -399,12 +408,3 @@ def cut_repeats(rows: list[dict]) -> tuple[list, list]:
         spans.append([{"start": a, "end": b} for a, b in found])
     return spans, kept
 
-
-def as_text(found: DataFrame, out: str) -> DataFrame:
-    """``found`` with ``kept`` as text in column ``out``; the halves of characters that a cut has broken are left out."""
-    whole = found.withColumn(out, F.col("kept"))
-
-    def load():
-        return lambda rows: [None if x is None else bytes(x).decode("utf-8", "ignore") for x in rows]
-
-    return add_columns(whole, load, out, [T.StructField(out, T.StringType())])

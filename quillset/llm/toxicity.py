@@ -36,7 +36,7 @@ LEAST_TEXTS = 3
 LEAST_G = 12.0
 FREQUENT_TERMS = 512
 MOST_TERMS = 20_000
-CACHED_WORDS = 300_000
+CACHED_WORDS = 100_000
 
 find_words = re.compile(r"\w+").findall
 
