@@ -125,9 +125,10 @@ def model_words(x: str) -> str:
     return f"' ' || array_to_string(regexp_extract_all({x}, '[^{SPACES}]+')[1:40], ' ')"
 
 
-TAIL = "parts[greatest(len(parts) - 2, 1):]"
-PAIRS = f"""parted AS (SELECT doc_id AS id, text, {sentences('text')} AS parts FROM documents),
-pairs AS (SELECT id, {joined(TAIL)} AS prediction, {joined('parts[1:3]')} AS reference FROM parted),
+PAIRS = f"""parted AS (SELECT doc_id + 1 AS id, text, {sentences('text')} AS parts FROM documents),
+pairs AS (
+  SELECT parted.id, coalesce(d.text, '') AS prediction, {joined('parts[1:3]')} AS reference
+  FROM parted LEFT JOIN documents d ON d.doc_id = parted.id),
 tokens AS (
   SELECT id, regexp_extract_all(lower(prediction), '[a-z0-9]+') AS p, regexp_extract_all(lower(reference), '[a-z0-9]+') AS r
   FROM pairs)"""

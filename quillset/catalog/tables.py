@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillset.functions.text import SUMMARY_SENTENCES, extractive_summary, join_sentences, sentences
+from quillset.functions.text import extractive_summary
 from quillset.operators.papers import build_papers, prepare_papers
 from quillset.operators.rouge import eval_pairs
 from quillset.operators.splitting import assign_splits
@@ -81,18 +81,14 @@ def search_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A baseline "model": the last sentences of every document."""
-    parts = sentences(F.col("text"))
-    last = F.slice(parts, F.greatest(F.size(parts) - (SUMMARY_SENTENCES - 1), F.lit(1)), F.lit(SUMMARY_SENTENCES))
-    return documents(spark, sf_dir).select(
-        F.col("doc_id").alias("id"), join_sentences(last).alias("prediction")
-    )
+    """A baseline "model" that says the whole text of its document."""
+    return documents(spark, sf_dir).select(F.col("doc_id").alias("id"), F.col("text").alias("prediction"))
 
 
 def references(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The labels it is scored against: the first sentences."""
+    """What it is scored against: the first sentences of the document before; the last one has no prediction."""
     return documents(spark, sf_dir).select(
-        F.col("doc_id").alias("id"), extractive_summary(F.col("text")).alias("reference")
+        (F.col("doc_id") + 1).alias("id"), extractive_summary(F.col("text")).alias("reference")
     )
 
 

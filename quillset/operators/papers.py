@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,6 +42,11 @@ def filter_min_words(papers: DataFrame, min_words: int = MIN_ABSTRACT_WORDS) ->
     return papers.where(F.col("abs_words") >= min_words)
 
 
+def midnight(day: datetime) -> Column:
+    """A bound as text, so that neither the zone of the session nor that of the driver process shifts it."""
+    return F.lit(day.strftime("%Y-%m-%d 00:00:00")).cast("timestamp_ntz")
+
+
 def in_date_range(moment: Column, date_range: str | None, end_of_day: bool = False) -> Column:
     """Whether a parsed date lies within ``A..B``. No date fails any range; no separator means no filter.
 
@@ -53,11 +58,11 @@ def in_date_range(moment: Column, date_range: str | None, end_of_day: bool = Fal
     first, last = bounds
     keep = moment.isNotNull()
     if first:
-        keep = keep & (moment >= F.lit(first).cast("timestamp_ntz"))
+        keep = keep & (moment >= midnight(first))
     if last and end_of_day:
-        keep = keep & (moment < F.lit(last + timedelta(days=1)).cast("timestamp_ntz"))
+        keep = keep & (moment < midnight(last + timedelta(days=1)))
     elif last:
-        keep = keep & (moment <= F.lit(last).cast("timestamp_ntz"))
+        keep = keep & (moment <= midnight(last))
     return F.coalesce(keep, F.lit(False))
 
 

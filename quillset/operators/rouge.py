@@ -19,8 +19,11 @@ METRICS = ("rouge1", "rouge2", "rougeL", "rougeLsum")
 
 
 def eval_pairs(predictions: DataFrame, references: DataFrame, key: str = "id") -> DataFrame:
-    """Pair each prediction with the reference of the same key. Keys must be unique on both sides."""
-    return predictions.select(key, "prediction").join(references.select(key, "reference"), key)
+    """Each reference with the prediction of the same key. Keys must be unique on both sides.
+
+    A reference without a prediction stays and scores 0; a prediction without a reference has nothing to be held against.
+    """
+    return references.select(key, "reference").join(predictions.select(key, "prediction"), key, "left")
 
 
 def rouge_tokens(text: Column, stemmed: bool = False) -> Column:

@@ -57,3 +57,18 @@ def test_parse_range():
     assert parse_range(" 2024-01-01 .. ") == (datetime(2024, 1, 1), None)
     with pytest.raises(ValueError):
         parse_range("2024-01-01..soon")
+
+
+def test_date_range_in_any_session_zone(spark):
+    from quillset.operators.papers import filter_date_range
+
+    rows = [("a", "2024-01-01"), ("b", "2023-12-31T20:00:00"), ("c", "2024-01-31"), ("d", "2024-01-30T22:00:00")]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for name in ("UTC", "America/New_York", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            papers = spark.createDataFrame(rows, "id string, published string")
+            found = filter_date_range(papers, "2024-01-01..2024-01-31").collect()
+            assert sorted(r.id for r in found) == ["a", "c", "d"], name
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

@@ -133,8 +133,15 @@ def test_corpus_scores(spark):
     predictions = spark.createDataFrame([(1, "models failing"), (2, "x y"), (3, "unpaired")], "id int, prediction string")
     references = spark.createDataFrame([(1, "model fails"), (2, "x z q"), (4, "unpaired")], "id int, reference string")
     found = {r.metric: r.value for r in evaluate_predictions(predictions, references).collect()}
-    assert found == {"rouge1": 70.0, "rouge2": 50.0, "rougeL": 70.0, "rougeLsum": 70.0}
+    assert found == {"rouge1": 46.67, "rouge2": 33.33, "rougeL": 46.67, "rougeLsum": 46.67}
     custom = eval_pairs(predictions, references).select(
         F.lit("exact").alias("metric"), (F.col("prediction") == F.col("reference")).cast("double").alias("f1")
     )
     assert corpus_scores(custom).first().value == 0.0
+
+
+def test_reference_without_prediction_scores_zero(spark):
+    predictions = spark.createDataFrame([(1, "a b")], "id int, prediction string")
+    references = spark.createDataFrame([(1, "a b"), (2, "c d")], "id int, reference string")
+    found = {r.metric: r.value for r in evaluate_predictions(predictions, references).collect()}
+    assert set(found.values()) == {50.0}
