@@ -27,7 +27,6 @@ from quillset.llm.common import add_columns, bounded_sample, held_out
 SAMPLE_ROWS = 1500
 #: Rounds of expectation maximisation.
 ROUNDS = 4
-PIECE_LETTERS = 8
 WORD_LETTERS = 48
 SMOOTHING = 0.02
 UNKNOWN = 1e-7
@@ -48,7 +47,7 @@ def public_pieces(path: str | None = None) -> list[str]:
 
     model = sentencepiece.SentencePieceProcessor(model_file=path or public_tokenizers.path("piece_bpe_32k.model"))
     pieces = [model.id_to_piece(i) for i in range(model.get_piece_size())]
-    kept = {p for p in pieces if len(p) <= PIECE_LETTERS and re.fullmatch(START + "?[^\\W\\d_]*", p) and p}
+    kept = {p for p in pieces if re.fullmatch(START + "?[^\\W\\d_]*", p) and p}
     return sorted(p for p in kept if p == p.lower())
 
 
@@ -59,12 +58,12 @@ def text_words(text: str | None) -> list[str]:
     return [w[i : i + WORD_LETTERS] for w in words for i in range(0, len(w), WORD_LETTERS)]
 
 
-def piece_hashes(letters: np.ndarray) -> Iterator[np.ndarray]:
-    """For 1, 2, ... ``PIECE_LETTERS`` letters: the hash of that many letters from each place on."""
+def piece_hashes(letters: np.ndarray, longest: int) -> Iterator[np.ndarray]:
+    """For 1, 2, ... ``longest`` letters: the hash of that many letters from each place on."""
     value = (letters.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
     value ^= value >> np.uint64(32)
     hashes = np.zeros(len(letters) + 1, np.uint64)
-    for size in range(1, PIECE_LETTERS + 1):
+    for size in range(1, longest + 1):
         hashes = hashes[:-1] * np.uint64(0xD1342543DE82EF95) + value[size - 1 :]
         yield hashes
 
@@ -76,10 +75,11 @@ class PieceTable:
 
     def __init__(self, pieces: list[str]):
         self.pieces = pieces
+        self.longest = max(map(len, pieces))
         hashes = np.zeros(len(pieces), np.uint64)
         for i, p in enumerate(pieces):
             letters = np.frombuffer(p.encode("utf-32-le"), "<u4")
-            hashes[i] = list(piece_hashes(letters))[len(p) - 1][0]
+            hashes[i] = list(piece_hashes(letters, len(p)))[-1][0]
         self.order = np.argsort(hashes)
         self.hashes = hashes[self.order]
         self.seen = np.zeros(1 << self.BITS, bool)
@@ -113,7 +113,7 @@ class Lattice:
         start = np.arange(len(letters)) - np.repeat(np.cumsum(length) - length, length)
         room = length[word] - start
         parts = []
-        for size, hashes in enumerate(piece_hashes(letters), 1):
+        for size, hashes in enumerate(piece_hashes(letters, pieces.longest), 1):
             fits = np.flatnonzero(room[: len(hashes)] >= size)
             found = pieces.find(hashes[fits])
             if size == 1:

@@ -105,6 +105,15 @@ def test_forward_sums_all_segmentations():
         assert np.isclose((change[:, 0] * counts).sum() / step, expected[i], rtol=1e-3, atol=1e-4)
 
 
+def test_long_pieces_count():
+    pieces = language.public_pieces()
+    assert {"▁function", "▁information", "▁children"} <= set(pieces)
+    table = language.PieceTable(["▁", *"abcdefghijkl", "▁abcdefghijkl"])
+    chance = np.full((15, 1), 0.5)
+    got = language.Lattice.of(["abcdefghijkl"], table).chances(chance)
+    assert np.isclose(got[0, 0], 0.5 + 0.5**13)
+
+
 def test_language_edges(spark):
     docs = edges(spark, "lang").withColumn("score", F.lit("text"))
     got = language.identify(docs, language.fit(docs.withColumn("lang", F.lit("de")))).collect()
