@@ -87,6 +87,26 @@ def test_plans_are_valid_and_near_the_optimum():
     assert over <= 1
 
 
+def test_few_lengths_with_large_counts():
+    counts = {600: 1000, 400: 1000, 212: 1000}
+    plan, bound = packing.bounded_plan(counts)
+    used = {n: sum(f.lengths.count(n) * f.times for f in plan) for n in counts}
+    assert used == counts and all(sum(f.lengths) <= 1024 for f in plan)
+    assert packing.size(plan) == bound == 1200  # one filling at a time, as often as the counts allow: 1250
+    plan, bound = packing.bounded_plan({n: c * 1000 for n, c in counts.items()})
+    assert packing.size(plan) == bound == 1_200_000
+
+
+def test_dominance():
+    left = {5: 1, 4: 1, 3: 2, 2: 2}
+    bits = sum(1 << n for n in left)
+    assert packing.dominated((3, 2), 0, left, bits)  # by 5
+    assert packing.dominated((4,), 1, left, bits)  # by 5
+    assert packing.dominated((3,), 2, left, bits)  # has room for 2
+    assert not packing.dominated((5,), 1, left, bits)
+    assert not packing.dominated((5, 3), 0, left, bits)
+
+
 def test_edges(spark):
     texts = [(1, None), (1, ""), (None, "x"), (2, "word " * 5000), (3, "a" * 3000)]
     docs = spark.createDataFrame([(*t, 5) for t in texts], "doc_id long, text string, length int")
