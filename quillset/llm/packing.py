@@ -17,9 +17,11 @@ Null and empty texts are one end id. Rows with repeated or null ids are packed e
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import logging
 import math
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -39,6 +41,8 @@ CAPACITY = 1024
 END_ID = 2
 #: Fillings and numbers of uses that a search over plans looks at, at most; the best plan found stands.
 SEARCH_STEPS = 20_000
+#: White space in a row from which on a text is read by the library that does not recur over it.
+BLANK_RUN = 100_000
 #: Fillings that enter the plan in fractions, at most; the lower bound holds whenever it ends.
 SIMPLEX_ROUNDS = 300
 
@@ -56,16 +60,18 @@ PIECES = T.ArrayType(
 Encoder = Callable[[list[str]], list[list[int]]]
 
 
-def byte_bpe(ranks: str | None = None) -> Encoder:
+def byte_bpe(ranks: str | None = None, model: str | None = None) -> Encoder:
     """The ids of ``byte_bpe_50k.json`` without special tokens added, from the rank file of the same vocabulary.
 
     The rank file gives equal ids several times as fast (the tests compare them). As in the other library, the text
-    of the one special token is that token.
+    of the one special token is that token. A text with a long run of white space overflows the pattern engine that
+    reads the rank file; such texts, found by one cheap search in texts that are long enough, go to the other library.
     """
     import base64
 
     import public_tokenizers
     import tiktoken
+    from tokenizers import Tokenizer
 
     path = ranks or public_tokenizers.path("byte_bpe_50k.tiktoken")
     with open(path, "rb") as lines:
@@ -74,7 +80,15 @@ def byte_bpe(ranks: str | None = None) -> Encoder:
     encoding = tiktoken.Encoding(
         "byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens=special
     )
-    return lambda texts: [encoding.encode(t, allowed_special="all") for t in texts]
+    long_blank = re.compile(rf"\s{{{BLANK_RUN}}}")
+    other = functools.cache(lambda: Tokenizer.from_file(model or public_tokenizers.path("byte_bpe_50k.json")))
+
+    def ids(text: str) -> list[int]:
+        if len(text) >= BLANK_RUN and long_blank.search(text):
+            return other().encode(text, add_special_tokens=False).ids
+        return encoding.encode(text, allowed_special="all")
+
+    return lambda texts: [ids(t) for t in texts]
 
 
 def token_pieces(ids: list[int], capacity: int = CAPACITY) -> list[dict]:

@@ -4,8 +4,9 @@
    owned by the least hashed gram inside it, and the windows in a row with the same owner form a segment. What a window
    owns depends on its bytes alone, so equal windows lie in segments with the same gram, at the same distance from it.
    Only these segments (about one in 128 bytes, each two hashes) are shuffled, not the suffixes.
-2. Classes. Equal segments (gram and segment agree on 128 bits of hashes) are one class; all windows of a class with two
-   members repeat. The counts are partial aggregates.
+2. Classes. Equal segments are one class: the polynomial hash of the gram and a cryptographic digest of the segment's
+   bytes agree, 64 bits each. All windows of a class with two members repeat. The counts are partial aggregates, and
+   the few classes that hold many segments find their members without a shuffle.
 3. Suffix sort. Where different segments share a gram, one member of each class is read and cut into blocks of up to
    ``BLOCK`` window starts, keyed by the bytes that all windows of the block must hold. The suffixes of a key that start at
    the same place are mergesorted; two suffixes are compared by a binary search for their common extension over prefix
@@ -18,21 +19,22 @@ share more bytes. Equal finer blocks are one class and repeat (their bytes are t
 their own hold no repeat, and the rest is sorted or cut again, down to single windows, for which the classes are the
 answer. The classes are partial aggregates, so a passage in a third of all texts makes no hot task.
 
-Null texts are empty; texts shorter than ``length`` keep all bytes. Rows are told apart by id and text, so rows with a
-repeated or null id are documents of their own, and a row that occurs twice repeats itself wholly.
+Null texts are empty; texts shorter than ``length`` keep all bytes. Rows are told apart by 128 bits of hashes of id and
+text, so rows with a repeated or null id are documents of their own, and a row that occurs twice repeats itself wholly.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillset.llm.common import add_columns, group_numbers, text_tag, whole_groups
+from quillset.llm.common import add_columns, group_numbers, whole_groups
 from quillset.session import stage
 
 LENGTH = 400
@@ -44,11 +46,13 @@ BLOCK = 64
 GROUP_ROWS = 128
 #: Window starts of the finer blocks into which keys with more blocks are cut, one after another.
 FINER = (16, 4, 1)
+#: Classes with more than this share of all segments, at most as many as its inverse, are dealt by broadcast.
+HOT_SHARE = 1e-4
 #: Window starts hashed at once; longer texts are hashed piece by piece.
 PIECE = 1 << 20
 POSITION_BITS = 21
 
-ROW = "row_id long, tag int"
+ROW = "row_id long, tag long"
 
 
 def _odd(seed: int) -> int:
@@ -102,16 +106,19 @@ def segments(data: np.ndarray, length: int, owned: int) -> Iterator[tuple[np.nda
     k = length - owned + 1
     for at in range(0, len(data) - length + 1, PIECE):
         part = data[at : at + PIECE + length - 1]
-        first, second = PrefixHashes(part), PrefixHashes(part, 2)
-        grams = first.grams(k)
+        grams = PrefixHashes(part).grams(k)
         low = np.uint64((1 << POSITION_BITS) - 1)
         owner = sliding_least((grams & ~low) | np.arange(len(grams), dtype=np.uint64), owned) & low
         owner = owner.astype(np.int64)
         start = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
         last = np.concatenate((start[1:], [len(owner)])) - 1
         place = owner[start]
-        whole = mixed(second.of(start, last + length)) + (last - start).astype(np.uint64)
-        yield start + at, last + at, place + at, grams[place].view(np.int64), whole.view(np.int64)
+        raw = part.tobytes()
+        whole = b"".join(
+            hashlib.blake2b(raw[a:b], digest_size=8).digest()
+            for a, b in zip(start.tolist(), (last + length).tolist(), strict=True)
+        )
+        yield start + at, last + at, place + at, grams[place].view(np.int64), np.frombuffer(whole, "<i8")
 
 
 def as_bytes(text: str | bytes | None) -> np.ndarray:
@@ -119,6 +126,11 @@ def as_bytes(text: str | bytes | None) -> np.ndarray:
     return np.frombuffer(raw, np.uint8)
 
 
+def row_key(id_col: str, text_col: str) -> tuple[Column, Column]:
+    """128 bits that tell rows apart by id and text: two hashes that begin with different seeds."""
+    return F.xxhash64(id_col, text_col), F.xxhash64(F.lit(7), text_col, id_col)
+
+
 def anchors(docs: DataFrame, length: int, owned: int) -> DataFrame:
     """One row per segment of the texts in (row_id, tag, text)."""
 
@@ -154,9 +166,13 @@ def blocks(wanted: DataFrame, docs: DataFrame, length: int) -> DataFrame:
     joined = docs.join(lists.withColumnsRenamed({"row_id": "r", "tag": "t"}), F.expr("row_id = r and tag = t"))
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        before = None
         for frame in frames:
             rows = []
             for row_id, tag, text, found in zip(*[frame[c] for c in ("row_id", "tag", "text", "segments")], strict=True):
+                if (row_id, tag) == before:  # equal rows follow each other after the join; their blocks are the same
+                    continue
+                before = row_id, tag
                 raw = as_bytes(text)
                 for start, last, place, gram, alone in np.reshape(found, (-1, len(parts))).tolist():
                     core_hash = PrefixHashes(raw[start : last + length])
@@ -353,29 +369,32 @@ def remove_repeats(
     The id must be an integer. Texts are shuffled twice, each time joined by row with what was found in them. Columns
     named ``repeats`` or ``kept`` are replaced.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("row_id"), text_tag(text_col).alias("tag"), text_col)
-    rows = rows.withColumnRenamed(text_col, "text").filter(F.octet_length("text") >= length)
-    rows = rows.withColumn("row_id", F.coalesce("row_id", F.lit(-(1 << 63))))
+    key = row_key(id_col, text_col)
+    rows = docs.select(key[0].alias("row_id"), key[1].alias("tag"), F.col(text_col).alias("text"))
+    rows = rows.filter(F.octet_length("text") >= length)
     found = stage(anchors(rows, length, owned), "segments")
     classes = found.groupBy("gram", "segment").agg(
         F.count(F.lit(1)).alias("members"),
         *[F.first(c).alias(c) for c in ("row_id", "tag", "start", "last", "place")],
     )
     classes = stage(classes, "segment-classes")
-    repeated = classes.filter("members > 1").select("gram", "segment")
-    copies = found.join(repeated, ["gram", "segment"]).select(
-        "row_id", "tag", "start", (F.col("last") + length).alias("end")
-    )
+    segments_ = classes.agg(F.sum("members")).first()[0] or 0
+    hot = F.col("members") > max(1000, segments_ * HOT_SHARE)
+    repeated = classes.filter("members > 1").withColumn("hot", hot).select("gram", "segment", "hot")
+    many = F.broadcast(repeated.filter("hot"))
+    marked = found.join(many, ["gram", "segment"], "left")
+    span = ["row_id", "tag", "start", (F.col("last") + length).alias("end")]
+    few = marked.filter("hot is null").drop("hot").join(repeated.filter("not hot"), ["gram", "segment"])
+    copies = marked.filter("hot").select(span).union(few.select(span))
     grams = classes.groupBy("gram").agg(
         F.count(F.lit(1)).alias("classes"), F.max(F.col("members") == 1).alias("any_alone")
     )
     wanted = classes.join(grams.filter("classes > 1 and any_alone").select("gram"), "gram")
     wanted = wanted.withColumn("alone", F.col("members") == 1)
     spans = copies.union(sorted_repeats(stage(blocks(wanted, rows, length), "segment-blocks"), length))
-    spans = spans.groupBy("row_id", "tag").agg(F.collect_list(F.struct("start", "end")).alias("repeats"))
+    spans = spans.groupBy("row_id", "tag").agg(F.collect_set(F.struct("start", "end")).alias("repeats"))
     spans = spans.withColumnsRenamed({"row_id": "span_row", "tag": "span_tag"})
-    mine = {"row_id_": F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))), "tag_": text_tag(text_col)}
-    plain = docs.drop("repeats", "kept").withColumns(mine)
+    plain = docs.drop("repeats", "kept").withColumns({"row_id_": key[0], "tag_": key[1]})
     joined = plain.join(spans, F.expr("row_id_ = span_row and tag_ = span_tag"), "left")
     joined = joined.withColumn("repeats", F.struct(F.col(text_col).alias("text"), "repeats"))
     joined = joined.drop("row_id_", "tag_", "span_row", "span_tag")

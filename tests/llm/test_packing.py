@@ -115,3 +115,10 @@ def test_edges(spark):
     assert all(r.length == 1024 for r in rows if r.piece > 0)
     assert len({(r.sequence_id, r.offset) for r in rows}) == len(rows)
     assert packing.pack(docs.limit(0)).count() == 0
+
+
+def test_long_white_space_has_the_ids_of_the_other_library():
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [" " * 1_200_000 + "a", "a" + "\n" * 1_100_000 + "b", "word " * 30_000, " " * 100_000 + "x", "\t \u00a0" * 50_000]
+    own = packing.byte_bpe()(texts)
+    assert own == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]

@@ -91,3 +91,30 @@ def test_query_on_whole_table(spark, sf_dir):
     for row, (kept, removed) in zip(rows, brute([r.text for r in rows], 400), strict=True):
         assert got[row.doc_id].kept_sha256 == hashlib.sha256(kept).hexdigest()
         assert got[row.doc_id].n_removed == removed
+
+
+def test_rows_without_id_that_share_nothing_keep_their_bytes(spark):
+    """Texts are told apart by 128 bits: many rows without id, some of them equal, and none loses a byte of its own."""
+    rng = random.Random(8)
+
+    def text(n):
+        return "".join(rng.choices("abcdefghij", k=n))
+
+    own = [text(rng.randint(400, 700)) for _ in range(300)]
+    same = text(900)
+    rows = [(None, t) for t in own] + [(None, same)] * 200
+    found = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(bytes(r.kept).decode() for r in found if r.kept) == sorted(own)
+    whole = [r for r in found if not r.kept]
+    assert len(whole) == 200 and all([tuple(s) for s in r.repeats] == [(0, 900)] for r in whole)
+
+
+def test_hot_classes_are_dealt_apart(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "HOT_SHARE", -1.0)
+    rng = random.Random(9)
+    same = "".join(rng.choices("abcdefghij", k=1500))
+    rows = [(i, f"{i:06d}{same}") for i in range(1200)] + [(9999, "x" * 500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = suffix_dedup.remove_repeats(docs).collect()
+    got = {r.doc_id: (bytes(r.kept), sum(s.end - s.start for s in r.repeats)) for r in found}
+    assert got == dict(zip([i for i, _ in rows], brute([t for _, t in rows], 400), strict=True))
