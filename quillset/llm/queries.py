@@ -17,6 +17,7 @@ from quillset.llm import (
     quality,
     simhash,
     suffix_dedup,
+    token_files,
     toxicity,
 )
 from quillset.llm.common import held_out
@@ -127,6 +128,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.roundtrip(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_quality": op2_quality,
@@ -138,6 +143,7 @@ QUERIES: dict[str, Query] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_toxicity": op9_toxicity,
     "op10_simhash": op10_simhash,
+    "op12_token_files": op12_token_files,
 }
 
 ORACLES: dict[str, str] = {
