@@ -14,6 +14,7 @@ from quillset.llm import (
     language,
     merkle,
     packing,
+    prefix_trie,
     quality,
     simhash,
     suffix_dedup,
@@ -132,6 +133,10 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.roundtrip(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_quality": op2_quality,
@@ -144,6 +149,7 @@ QUERIES: dict[str, Query] = {
     "op9_toxicity": op9_toxicity,
     "op10_simhash": op10_simhash,
     "op12_token_files": op12_token_files,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLES: dict[str, str] = {
@@ -166,5 +172,56 @@ ORACLES: dict[str, str] = {
         WHERE record_id % 97 <> 3 AND (record_id % 101 = 7 OR record_id % 103 = 5)
         UNION ALL
         SELECT file, "offset" + 1 AS "offset", record_id, 'extra' AS damage FROM placed WHERE record_id % 107 = 11
-    """
+    """,
+    "op13_prefix_trie": """
+        WITH numbered AS (
+            SELECT conv_id AS c, strlen(coalesce(text, '')) AS size,
+                sha256(concat(strlen(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) AS digest,
+                row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                    sha256(concat(strlen(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, '')))) - 1 AS at
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), asked AS (
+            SELECT DISTINCT c, c - c % 5 AS base, xor(list_reduce(
+                list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ord(x) AS UBIGINT)),
+                lambda a, b: list_reduce(list_transform(range(8), lambda i: CAST(0 AS UBIGINT)),
+                    lambda y, i: xor(y >> 1, (y & 1) * CAST(3988292384 AS UBIGINT)), xor(a, b)),
+                CAST(4294967295 AS UBIGINT)), CAST(4294967295 AS UBIGINT)) % 9 AS h
+            FROM numbered
+        ), shifts AS (
+            SELECT k.c, k.h, k.base, count(b.at) AS borrowed
+            FROM asked k LEFT JOIN numbered b ON b.c = k.base AND b.at < k.h GROUP BY ALL
+        ), rebuilt AS (
+            SELECT k.c, b.at + 1 AS depth, b.size, b.digest FROM shifts k JOIN numbered b ON b.c = k.base AND b.at < k.h
+            UNION ALL
+            SELECT k.c, k.borrowed + t.at - k.h + 1 AS depth, t.size, t.digest
+            FROM shifts k JOIN numbered t ON t.c = k.c AND t.at >= k.h
+        ), named AS (
+            SELECT c, depth, size, sha256(string_agg(digest, '') OVER (PARTITION BY c ORDER BY depth)) AS name FROM rebuilt
+            UNION ALL
+            SELECT c, 0 AS depth, 0 AS size, '' AS name FROM asked
+        ), nodes AS (
+            SELECT depth, name, min(c) AS owner, count(*) AS n_convs, max(size) AS size FROM named GROUP BY depth, name
+        ), paths AS (
+            SELECT named.c, named.depth, nodes.owner FROM named JOIN nodes USING (depth, name)
+        ), placed AS (
+            SELECT n.owner, n.depth, n.n_convs, (n.n_convs - 1) * n.size AS saved, p.owner AS parent
+            FROM nodes n LEFT JOIN paths p ON p.c = n.owner AND p.depth = n.depth - 1
+        ), children AS (
+            SELECT parent AS owner, depth - 1 AS depth, count(*) AS n_children FROM placed WHERE depth > 0 GROUP BY ALL
+        ), weighed AS (
+            SELECT placed.*, coalesce(n_children, 0) AS n_children FROM placed LEFT JOIN children USING (owner, depth)
+        ), totals AS (
+            SELECT p.owner, p.depth, sum(w.saved) AS saved, sum(CASE WHEN w.n_children = 0 THEN 1 ELSE 0 END) AS leaves
+            FROM weighed w JOIN paths p ON p.c = w.owner AND p.depth <= w.depth GROUP BY p.owner, p.depth
+        ), ends AS (
+            SELECT p.owner, p.depth, sha256(string_agg(CAST(p.c AS VARCHAR), ',' ORDER BY p.c)) AS ends
+            FROM paths p JOIN (SELECT c, max(depth) AS depth FROM paths GROUP BY c) e ON e.c = p.c AND e.depth = p.depth
+            GROUP BY p.owner, p.depth
+        )
+        SELECT w.owner AS conv_id, CAST(w.depth AS BIGINT) AS depth, w.parent AS parent_conv_id,
+            CAST(w.n_convs AS BIGINT) AS n_convs, CAST(w.n_children AS BIGINT) AS n_children,
+            CAST(t.leaves AS BIGINT) AS n_leaves, CAST(t.saved AS BIGINT) AS saved_tokens,
+            coalesce(e.ends, sha256('')) AS ends_sha256
+        FROM weighed w JOIN totals t USING (owner, depth) LEFT JOIN ends e USING (owner, depth)
+    """,
 }
