@@ -12,6 +12,7 @@ from quillset.llm import (
     embedding_dedup,
     html_extract,
     language,
+    lexical_search,
     merkle,
     packing,
     prefix_trie,
@@ -129,6 +130,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.roundtrip(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -148,6 +153,7 @@ QUERIES: dict[str, Query] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_toxicity": op9_toxicity,
     "op10_simhash": op10_simhash,
+    "op11_lexical_search": op11_lexical_search,
     "op12_token_files": op12_token_files,
     "op13_prefix_trie": op13_prefix_trie,
 }
@@ -173,6 +179,39 @@ ORACLES: dict[str, str] = {
         UNION ALL
         SELECT file, "offset" + 1 AS "offset", record_id, 'extra' AS damage FROM placed WHERE record_id % 107 = 11
     """,
+    "op11_lexical_search": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS place, doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents
+        ), items AS (
+            SELECT row_number() OVER () AS item, item_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM benchmark
+        ), asked AS (
+            SELECT DISTINCT item, item_id, term FROM (SELECT item, item_id, unnest(terms) AS term FROM items)
+        ), counts AS (
+            SELECT CAST(count(*) FILTER (len(terms) > 0) AS BIGINT) AS docs, CAST(sum(len(terms)) AS BIGINT) AS terms FROM docs
+        ), postings AS (
+            SELECT place, doc_id, n, term, count(*) AS tf
+            FROM (SELECT place, doc_id, len(terms) AS n, unnest(terms) AS term FROM docs)
+            WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+        ), weights AS (
+            SELECT term, CAST(floor(1000 * ln((2 * c.docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM postings, counts c GROUP BY term, c.docs
+        ), scores AS (
+            SELECT a.item, a.item_id, p.place, p.doc_id, sum(w.w * ((1000000000 * p.tf)
+                // (1000 * p.tf + 20 * (100 - 50 + (50 * p.n * c.docs) // c.terms)))) AS score
+            FROM asked a JOIN postings p USING (term) JOIN weights w USING (term), counts c
+            GROUP BY ALL
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST, place) AS rank
+            FROM scores WHERE score > 0
+        )
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 50
+    """,
     "op13_prefix_trie": """
         WITH numbered AS (
             SELECT conv_id AS c, strlen(coalesce(text, '')) AS size,
