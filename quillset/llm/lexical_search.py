@@ -5,12 +5,13 @@ the term alone, so documents and items are sparse vectors and the score is their
 
 Index. Documents are counted once into vectors over the terms that are asked for. A random projection of the vector
 sends each document to the nearest of some pivots (a bounded sample of documents); these cells are split by hash until a
-cell has about ``CELL_POSTINGS`` postings, whatever the size of a group of copies. Inside a cell each term has its posting
-list, and each list is clustered by the similarity of its documents: as many of them as the list has blocks are centres,
-every document joins the most similar centre, and a block has ``BLOCK`` documents of one centre at most. A block's summary
-is the coordinatewise maximum of its documents' vectors, rounded up to multiples of a unit, so no score is above the
-product of the summary and the item. A list of one document needs no summary: it is its own. A cell is one row of the
-index, which is written to the shared folder.
+cell has about ``CELL_POSTINGS`` postings and ``CELL_DOCUMENTS`` documents, whatever the size of a group of copies. Inside
+a cell each term has its posting list, and each list is clustered by the similarity of its documents: as many of them as
+the list has blocks are centres, every document joins the most similar centre, and a block has ``BLOCK`` documents of one
+centre at most. A block's summary is the coordinatewise maximum of its documents' vectors, rounded up to multiples of a
+unit, so no score is above the product of the summary and the item. It has the coordinates that some item holds together
+with the list's term, its partners: no item asks this list for others. A cell is one row of the index, which is written to
+the shared folder.
 
 Search. Each item's threshold comes first: in every cell the block with the best bound is scored, and the 50th best score
 of all cells can only be too low. In the second pass lists whose impacts cannot reach the threshold together are left
@@ -42,14 +43,16 @@ from pyspark.sql import functions as F
 from quillset.session import stage
 
 TOP = 50
-#: Documents of a block; postings of a cell, about; cells before the split by hash; coordinates of the projection.
-BLOCK, CELL_POSTINGS, PIVOTS, DIMENSIONS = 64, 1 << 18, 256, 16
+#: Documents of a block; cells before the split by hash; coordinates of the projection.
+BLOCK, PIVOTS, DIMENSIONS = 64, 256, 16
+#: Postings and documents of a cell, about.
+CELL_POSTINGS, CELL_DOCUMENTS = 1 << 18, 1 << 12
 #: Terms of all items of a shard, about.
 SHARD_TERMS = 1 << 16
 #: Summaries are built for so many entries at once.
 ENTRIES_AT_ONCE = 1 << 22
 #: Summary values are multiples of a unit up to this.
-LEVELS = (1 << 16) - 1
+LEVELS = (1 << 8) - 1
 
 #: Bytes that are no part of a term become blanks, A to Z become a to z.
 PLAIN = bytes(
@@ -134,15 +137,16 @@ def weights(rows: DataFrame, size: int) -> Weights:
 
 
 def sparse(terms: list[bytes], counts: list[bytes], n: np.ndarray, by: Weights) -> tuple[np.ndarray, ...]:
-    """Vectors in a row: where each begins (and the last ends), terms, impacts; terms without impact are left out."""
+    """Vectors in a row: where each begins (and the last ends), terms, counts, impacts; terms without impact go."""
     term = np.frombuffer(b"".join(terms), "<i4").astype(np.int64)
     size = np.array([len(t) // 4 for t in terms], np.int64)
     row = np.repeat(np.arange(len(size)), size)
-    impact = by.impacts(term, np.frombuffer(b"".join(counts), "<i4").astype(np.int64), n[row])
+    count = np.frombuffer(b"".join(counts), "<i4").astype(np.int64)
+    impact = by.impacts(term, count, n[row])
     some = impact > 0
     begin = np.zeros(len(size) + 1, np.int64)
     np.cumsum(np.bincount(row[some], minlength=len(size)), out=begin[1:])
-    return begin, term[some], impact[some]
+    return begin, term[some], count[some], impact[some]
 
 
 def projected(begin: np.ndarray, term: np.ndarray, impact: np.ndarray, size: int) -> np.ndarray:
@@ -169,89 +173,98 @@ ARRAYS = [
     ("id", "<i8"),
     ("no_id", "u1"),
     ("row", "<i8"),
-    ("begin", "<i8"),  # of each document's vector
+    ("n", "<i8"),  # terms of each document
+    ("begin", "<i8"),  # of each document's vector, and the end of the last
     ("term", "<i4"),  # numbers of ``own``
-    ("impact", "<i8"),
+    ("count", "<i4"),
     ("own", "<i4"),  # the terms of the cell
     ("lists", "<i4"),  # first block of each term's list, and the end of the last
     ("blocks", "<i4"),  # first place of each block in ``members``, and the end of the last
     ("members", "<i4"),  # documents
-    ("columns", "<i8"),  # first summary entry of each term, and the end of the last
-    ("summary_block", "<i4"),
-    ("summary_value", "<u2"),
+    ("summary", "u1"),  # of each term's list: a row for each block, a column for each partner of the term
 ]
 CELL = "unit long, " + ", ".join(f"{name} binary" for name, _ in ARRAYS)
 
 
+@dataclass
+class Asked:
+    """The terms of each item of a shard, and of each term the partners that it has in some item, all ascending."""
+
+    items: list[np.ndarray]
+    partners: list[np.ndarray]
+
+    @classmethod
+    def of(cls, items: list[list[int]], size: int) -> Asked:
+        holders: list[list[int]] = [[] for _ in range(size)]
+        for i, terms in enumerate(items):
+            for t in terms:
+                holders[t].append(i)
+        arrays = [np.array(x, np.int64) for x in items]
+        once: dict[tuple, np.ndarray] = {}  # terms of the same items share their partners
+        for held in map(tuple, holders):
+            if held not in once:
+                once[held] = np.unique(np.concatenate([np.zeros(0, np.int64), *[arrays[i] for i in held]]))
+        return cls(arrays, [once[tuple(held)] for held in holders])
+
+
 @dataclass
 class Cell:
-    """Documents of a cell, their vectors, the blocks of each term's list and the summaries by term."""
+    """Documents of a cell, their vectors, the blocks of each term's list and their summaries."""
 
     unit: int
     id: np.ndarray
     no_id: np.ndarray
     row: np.ndarray
+    n: np.ndarray
     begin: np.ndarray
     term: np.ndarray
-    impact: np.ndarray
+    count: np.ndarray
     own: np.ndarray
     lists: np.ndarray
     blocks: np.ndarray
     members: np.ndarray
-    columns: np.ndarray
-    summary_block: np.ndarray
-    summary_value: np.ndarray
+    summary: np.ndarray
 
     @classmethod
-    def build(cls, ids: list, rows: list, terms: list, counts: list, n: np.ndarray, by: Weights) -> Cell:
-        begin, term, impact = sparse(terms, counts, n, by)
+    def build(cls, ids: list, rows: list, terms: list, counts: list, n: np.ndarray, by: Weights, partners: list) -> Cell:
+        begin, term, count, impact = sparse(terms, counts, n, by)
         place = projected(begin, term, impact, len(by.weight))
         own, term = np.unique(term, return_inverse=True)
         document = np.repeat(np.arange(len(ids)), np.diff(begin))
         order = np.argsort(term, kind="stable")
         ends = np.searchsorted(term[order], np.arange(len(own) + 1))
-        members, block_sizes, lists = document[order], [], [0]
-        for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
-            if b - a <= BLOCK:
-                block_sizes.append(b - a)
-            else:
-                cluster, sizes = clustered(place[members[a:b]])
-                members[a:b] = members[a:b][cluster]
-                block_sizes.extend(sizes)
-            lists.append(len(block_sizes))
-        blocks = np.cumsum([0, *block_sizes])
         unit = -(-int(impact.max(initial=1)) // LEVELS)
-        columns, summary_block, summary_value = summaries(
-            begin, term, -(-impact // unit), blocks, members, len(own)
-        )
-        no_id = np.array([i is None for i in ids], bool)
-        numbers = np.array([i or 0 for i in ids], np.int64)
+        vectors = np.zeros((len(ids), len(own) + 1), np.uint8)  # the last column is of terms that the cell lacks
+        vectors[document, term] = -(-impact // unit)
+        column = np.full(len(by.weight), len(own), np.int64)
+        column[own] = np.arange(len(own))
+        members, sizes, lists, summary = document[order], [], [0], [np.zeros(0, np.uint8)]
+        for t, a, b in zip(own.tolist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+            mine = [b - a]
+            if b - a > BLOCK:
+                cluster, mine = clustered(place[members[a:b]])
+                members[a:b] = members[a:b][cluster]
+            sizes += mine
+            lists.append(len(sizes))
+            summary.append(maxima(vectors, members[a:b], mine, column[partners[t]]))
+        number = np.array([i or 0 for i in ids], np.int64)
         return cls(
-            unit, numbers, no_id, np.array(rows, np.int64), begin, term, impact, own, np.array(lists), blocks, members,
-            columns, summary_block, summary_value,
+            unit, number, np.array([i is None for i in ids], bool), np.array(rows, np.int64), n, begin, term, count, own,
+            np.array(lists), np.cumsum([0, *sizes]), members, np.concatenate(summary),
         )
 
     def to_row(self) -> list:
         return [self.unit, *[getattr(self, name).astype(kind).tobytes() for name, kind in ARRAYS]]
 
     @classmethod
-    def from_row(cls, unit: int, *raw: bytes) -> Cell:
-        wide = {"<i4": np.int64, "<u2": np.int64}
-        arrays = [np.frombuffer(x, k) for x, (_, k) in zip(raw, ARRAYS, strict=True)]
-        return cls(unit, *[x.astype(wide.get(k, x.dtype)) for x, (_, k) in zip(arrays, ARRAYS, strict=True)])
-
-    def bounds(self, terms: np.ndarray) -> np.ndarray:
-        """An upper bound of the score of any document of each block; ``terms`` are numbers of ``own``."""
-        out = np.zeros(len(self.blocks) - 1, np.int64)
-        for t in terms.tolist():
-            some = slice(self.columns[t], self.columns[t + 1])
-            out[self.summary_block[some]] += self.summary_value[some]
-        return out * self.unit
-
-    def scores(self, documents: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    def from_row(cls, unit: int, *raw: bytes | pa.Buffer) -> Cell:
+        arrays = [np.frombuffer(x, kind) for x, (_, kind) in zip(raw, ARRAYS, strict=True)]
+        return cls(unit, *[x.astype(np.int64) if kind == "<i4" else x for x, (_, kind) in zip(arrays, ARRAYS, strict=True)])
+
+    def scores(self, documents: np.ndarray, asked: np.ndarray, impact: np.ndarray) -> np.ndarray:
         """Exact scores; ``asked`` marks the terms of ``own`` that the item has."""
         at, size = expanded(self.begin, documents)
-        sums = np.append(0, np.cumsum(self.impact[at] * asked[self.term[at]]))
+        sums = np.append(0, np.cumsum(impact[at] * asked[self.term[at]]))
         ends = np.cumsum(size)
         return sums[ends] - sums[ends - size]
 
@@ -276,69 +289,56 @@ def clustered(place: np.ndarray) -> tuple[np.ndarray, list[int]]:
     return order, sizes
 
 
-def summaries(
-    begin: np.ndarray, term: np.ndarray, value: np.ndarray, blocks: np.ndarray, members: np.ndarray, width: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Coordinatewise maxima of blocks of two documents or more, by term: first entry of each term, blocks, values."""
-    many = np.flatnonzero(np.diff(blocks) > 1)
-    length = np.diff(begin)
-    held = np.add.reduceat(length[members], blocks[:-1]) if len(blocks) > 1 else np.zeros(0, np.int64)
-    work = np.cumsum(np.maximum(held[many], width))
-    found: list[list[np.ndarray]] = [[], [], []]
-    for share in np.split(many, np.flatnonzero(np.diff(work // ENTRIES_AT_ONCE)) + 1) if len(many) else []:
-        at, size = expanded(blocks, share)
-        entries, sizes = expanded(begin, members[at])
-        block = np.repeat(np.repeat(np.arange(len(share)), size), sizes)
-        most = np.zeros(len(share) * width, np.uint16)
-        np.maximum.at(most, block * width + term[entries], value[entries].astype(np.uint16))
-        some = np.flatnonzero(most)
-        for list_, x in zip(found, (some % width, share[some // width], most[some]), strict=True):
-            list_.append(x)
-    if not found[0]:
-        return np.zeros(width + 1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint16)
-    column, block, most = [np.concatenate(x) for x in found]
-    order = np.argsort(column, kind="stable")
-    return np.searchsorted(column[order], np.arange(width + 1)), block[order], most[order]
-
-
-def build_index(rows: DataFrame, by: Weights) -> DataFrame:
+def maxima(vectors: np.ndarray, members: np.ndarray, sizes: list[int], columns: np.ndarray) -> np.ndarray:
+    """Coordinatewise maxima of blocks of documents, a few blocks at once."""
+    ends = np.cumsum(sizes)
+    found, at = [], 0
+    while at < len(sizes):
+        low = int(ends[at]) - sizes[at]
+        to = max(at + 1, int(np.searchsorted(ends, low + ENTRIES_AT_ONCE // max(len(columns), 1), side="right")))
+        some = vectors[members[low : ends[to - 1]]][:, columns]
+        found.append(np.maximum.reduceat(some, np.append(0, ends[at : to - 1] - low)))
+        at = to
+    return np.concatenate(found).ravel()
+
+
+def build_index(rows: DataFrame, by: Weights, partners: list[np.ndarray]) -> DataFrame:
     """One row per cell: see ``ARRAYS``. ``rows`` are the vectors of all documents."""
     spark, size = rows.sparkSession, len(by.weight)
     some = rows.filter(F.octet_length("terms") > 0)
-    postings = (some.agg(F.sum(F.octet_length("terms"))).first()[0] or 0) // 4
-    number = min(PIVOTS, -(-postings // CELL_POSTINGS)) or 1
+    held = F.sum(F.octet_length("terms") / 4).cast("long").alias("postings")
+    number = min(PIVOTS, -(-(some.agg(held).first()[0] or 0) // CELL_POSTINGS)) or 1
     chosen = some.orderBy(F.xxhash64("row")).limit(number).collect()  # a bounded sample, the same at every run
     lists = [[bytes(r[c]) for r in chosen] for c in ("terms", "counts")]
-    pivots = projected(*sparse(*lists, np.array([r.n for r in chosen], np.int64), by), size)
-    shared = spark.sparkContext.broadcast((by.weight, by.documents, by.terms, pivots))
+    begin, term, _, impact = sparse(*lists, np.array([r.n for r in chosen], np.int64), by)
+    pivots = projected(begin, term, impact, size)
+    shared = spark.sparkContext.broadcast((by.weight, by.documents, by.terms, pivots, partners))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weight, documents, terms, centres = shared.value
+        *known, centres, _ = shared.value
         for batch in batches:
             lists = [[x.as_buffer().to_pybytes() for x in batch.column(i)] for i in (2, 3)]
-            n = batch.column(1).to_numpy(zero_copy_only=False)
-            place = projected(*sparse(*lists, n, Weights(weight, documents, terms)), size)
-            cell = (place @ centres.T).argmax(1) if len(centres) else np.zeros(len(n))
+            begin, term, _, impact = sparse(*lists, batch.column(1).to_numpy(zero_copy_only=False), Weights(*known))
+            near = projected(begin, term, impact, size) @ centres.T
+            cell = near.argmax(1) if len(centres) else np.zeros(batch.num_rows)
             names = ["doc_id", "n", "terms", "counts", "row", "cell"]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell.astype(np.int32))], names=names)
 
     kinds = "doc_id long, n long, terms binary, counts binary, row long, cell int"
     dealt = stage(some.mapInArrow(assign, kinds), "cells")
-    sizes = dealt.groupBy("cell").agg(F.sum(F.octet_length("terms")).alias("bytes"))
-    salts = {r.cell: max(1, -(-r.bytes // 4 // CELL_POSTINGS)) for r in sizes.collect()}  # at most PIVOTS rows
-    salt = F.create_map(*[F.lit(x) for item in salts.items() for x in item]) if salts else None
-    part = F.pmod(F.xxhash64("row"), salt[F.col("cell")]).cast("int") if salts else F.lit(0)
+    sizes = dealt.groupBy("cell").agg(held, F.count(F.lit(1)).alias("documents"))
+    parts = F.ceil(F.greatest(F.col("postings") / CELL_POSTINGS, F.col("documents") / CELL_DOCUMENTS)).cast("int")
+    parts = F.broadcast(sizes.select("cell", parts.alias("parts")))  # a row for each pivot at most
     key = ["cell", "part"]
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weight, documents, terms, _ = shared.value
-        by = Weights(weight, documents, terms)
+        *known, _, partners = shared.value
         held: list[list] = []
         before = None
 
         def made() -> pa.RecordBatch:
             ids, n, terms, counts, rows = [list(x) for x in zip(*held, strict=True)]
-            row = Cell.build(ids, rows, terms, counts, np.array(n, np.int64), by).to_row()
+            row = Cell.build(ids, rows, terms, counts, np.array(n, np.int64), Weights(*known), partners).to_row()
             kinds = [pa.int64(), *[pa.binary()] * len(ARRAYS)]
             arrays = [pa.array([x], k) for x, k in zip(row, kinds, strict=True)]
             return pa.RecordBatch.from_arrays(arrays, names=["unit", *[name for name, _ in ARRAYS]])
@@ -353,83 +353,101 @@ def build_index(rows: DataFrame, by: Weights) -> DataFrame:
         if held:
             yield made()
 
-    grouped = dealt.withColumn("part", part).repartition(*key).sortWithinPartitions(*key, "row")
-    columns = ["doc_id", "n", "terms", "counts", "row", *key]
-    return stage(grouped.select(columns).mapInArrow(build, CELL), "search-index")
+    dealt = dealt.join(parts, "cell").withColumn("part", F.pmod(F.xxhash64("row"), "parts").cast("int"))
+    grouped = dealt.repartition(*key).sortWithinPartitions(*key, "row")
+    return stage(grouped.select("doc_id", "n", "terms", "counts", "row", *key).mapInArrow(build, CELL), "search-index")
+
+
+def cells_of(batches: Iterator[pa.RecordBatch]) -> Iterator[Cell]:
+    """The cells of an index one after another, without a copy of more than one of them."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            unit, *raw = [c[i] for c in batch.columns]
+            yield Cell.from_row(unit.as_py(), *[x.as_buffer() for x in raw])
 
 
-def searched(cell: Cell, asked: list[np.ndarray], least: np.ndarray, k: int, probe: bool) -> Iterator[tuple]:
+def searched(
+    cell: Cell, asked: Asked, by: Weights, least: np.ndarray, k: int, probe: bool
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(item, documents, scores) of the best documents of a cell for each item, none below ``least``.
 
     With ``probe`` only the block with the best bound is scored.
     """
-    singles = np.diff(cell.blocks) == 1
-    most = np.zeros(len(cell.own), np.int64)
-    np.maximum.at(most, cell.term, cell.impact)
-    for item, terms in enumerate(asked):
-        at = np.searchsorted(cell.own, terms)
-        mine = at[(at < len(cell.own)) & (cell.own[np.minimum(at, len(cell.own) - 1)] == terms)]
-        reach = np.cumsum(np.sort(most[mine]))
+    own, document = cell.own, np.repeat(np.arange(len(cell.n)), np.diff(cell.begin))
+    impact = by.impacts(own[cell.term], cell.count, cell.n[document])
+    most = np.zeros(len(own), np.int64)
+    np.maximum.at(most, cell.term, impact)
+    width = np.array([len(asked.partners[t]) for t in own.tolist()], np.int64)
+    ends = np.cumsum(np.diff(cell.lists) * width)
+    for item, terms in enumerate(asked.items):
+        at = np.searchsorted(own, terms)
+        mine = at[(at < len(own)) & (own[np.minimum(at, len(own) - 1)] == terms)]
+        by_reach = mine[np.argsort(most[mine], kind="stable")]
+        reach = np.cumsum(most[by_reach])
         if not len(mine) or reach[-1] < least[item]:
             continue
-        by_reach = mine[np.argsort(most[mine], kind="stable")]
-        essential = by_reach[reach >= least[item]]
-        blocks, _ = expanded(cell.lists, essential)
-        bound = cell.bounds(mine)[blocks]
-        alone = singles[blocks]
-        if probe:
-            some = blocks[[bound.argmax()]] if not alone.all() else blocks[alone][:BLOCK]
-        else:
-            some = blocks[alone | (bound >= least[item])]
+        blocks, bounds = [], []
+        for t in by_reach[reach >= least[item]].tolist():
+            partners = asked.partners[own[t]]
+            summary = cell.summary[ends[t] - (cell.lists[t + 1] - cell.lists[t]) * width[t] : ends[t]]
+            columns = np.searchsorted(partners, terms)
+            bounds.append(summary.reshape(-1, width[t])[:, columns].sum(1, dtype=np.int64) * cell.unit)
+            blocks.append(np.arange(cell.lists[t], cell.lists[t + 1]))
+        block, bound = np.concatenate(blocks), np.concatenate(bounds)
+        some = block[[bound.argmax()]] if probe else block[bound >= least[item]]
+        if not len(some):
+            continue
         documents = cell.in_blocks(some)
-        is_asked = np.zeros(len(cell.own), np.int64)
+        is_asked = np.zeros(len(own), np.int64)
         is_asked[mine] = 1
-        scores = cell.scores(documents, is_asked)
+        scores = cell.scores(documents, is_asked, impact)
         documents, scores = documents[scores >= least[item]], scores[scores >= least[item]]
         if len(documents):
             best = cell.best(documents, scores, k)
             yield item, documents[best], scores[best]
 
 
-def search(index: DataFrame, asked: list[list[int]], k: int = TOP) -> DataFrame:
+def search(index: DataFrame, asked: Asked, by: Weights, k: int = TOP) -> DataFrame:
     """(item, doc_id, row, score): the documents that can be among the ``k`` best of each item, the ``k`` best among them.
 
-    ``asked`` has the numbers of each item's terms, ascending; items are numbered by their place in it.
+    Items are numbered by their place in ``asked``, with which the index was built.
     """
-    spark = index.sparkSession
-    shared = spark.sparkContext.broadcast([np.array(x, np.int64) for x in asked])
+    spark, number = index.sparkSession, len(asked.items)
+    shared = spark.sparkContext.broadcast((asked.items, asked.partners, by.weight, by.documents, by.terms))
+
+    def known() -> tuple[Asked, Weights]:
+        items, partners, *rest = shared.value
+        return Asked(items, partners), Weights(*rest)
 
     def first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = shared.value
-        least, best = np.ones(len(items), np.int64), [np.zeros(0, np.int64)] * len(items)
-        for batch in batches:
-            for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                for item, _, scores in searched(Cell.from_row(*row), items, least, k, True):
-                    best[item] = np.sort(np.concatenate((best[item], scores)))[::-1][:k]
-                    if len(best[item]) == k:
-                        least[item] = best[item][-1]
-        number = np.repeat(np.arange(len(items)), [len(x) for x in best])
+        asked, by = known()
+        least, best = np.ones(number, np.int64), [np.zeros(0, np.int64)] * number
+        for cell in cells_of(batches):
+            for item, _, scores in searched(cell, asked, by, least, k, True):
+                best[item] = np.sort(np.concatenate((best[item], scores)))[::-1][:k]
+                if len(best[item]) == k:
+                    least[item] = best[item][-1]
+        items = np.repeat(np.arange(number), [len(x) for x in best])
         scores = np.concatenate([np.zeros(0, np.int64), *best])
-        yield pa.RecordBatch.from_arrays([pa.array(number), pa.array(scores)], names=["item", "score"])
+        yield pa.RecordBatch.from_arrays([pa.array(items), pa.array(scores)], names=["item", "score"])
 
     seen = index.mapInArrow(first_pass, "item long, score long")
     ahead = Window.partitionBy("item").orderBy(F.col("score").desc())
     seen = seen.withColumn("rank", F.row_number().over(ahead)).filter(F.col("rank") <= k)
     reached = seen.filter(F.col("rank") == k).select("item", "score").collect()  # one row for each item of the shard
-    least = np.ones(len(asked), np.int64)
+    least = np.ones(number, np.int64)
     for r in reached:
         least[r.item] = max(1, r.score)
     limits = spark.sparkContext.broadcast(least)
 
     def second_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked, by = known()
         names = ["item", "doc_id", "row", "score"]
-        for batch in batches:
-            for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                cell = Cell.from_row(*row)
-                for item, documents, scores in searched(cell, shared.value, limits.value, k, False):
-                    ids = pa.array(cell.id[documents], mask=cell.no_id[documents].astype(bool))
-                    columns = [pa.array(np.full(len(documents), item)), ids, pa.array(cell.row[documents]), pa.array(scores)]
-                    yield pa.RecordBatch.from_arrays(columns, names=names)
+        for cell in cells_of(batches):
+            for item, documents, scores in searched(cell, asked, by, limits.value, k, False):
+                ids = pa.array(cell.id[documents], mask=cell.no_id[documents].astype(bool))
+                columns = [pa.array(np.full(len(documents), item)), ids, pa.array(cell.row[documents]), pa.array(scores)]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return index.mapInArrow(second_pass, "item long, doc_id long, row long, score long")
 
@@ -453,8 +471,9 @@ def rank(
             continue
         number = {t: i for i, t in enumerate(vocabulary)}
         counted = vectors(docs, id_col, text_col, vocabulary)
-        index = build_index(counted, weights(counted, len(vocabulary)))
-        hits = search(index, [[number[bytes(t)] for t in r.terms] for r in rows], k)
+        asked_ = Asked.of([[number[bytes(t)] for t in r.terms] for r in rows], len(vocabulary))
+        by = weights(counted, len(vocabulary))
+        hits = search(build_index(counted, by, asked_.partners), asked_, by, k)
         ahead = Window.partitionBy("item").orderBy(*order)
         best = hits.withColumn("rank", F.row_number().over(ahead)).filter(F.col("rank") <= k)
         places = spark.createDataFrame([(i, r.item) for i, r in enumerate(rows)], "item long, of long")

@@ -95,38 +95,45 @@ def cell(seed, n=400):
     found = [np.unique(rng.choice(topics[i % 5], rng.integers(1, 15))) for i in range(n)]
     counts = [rng.integers(1, 4, len(t)) for t in found]
     by = lexical_search.Weights(rng.integers(1, 9000, 120), n, 10 * n)
+    asked = lexical_search.Asked.of([sorted(rng.choice(120, 6, replace=False).tolist()) for _ in range(30)], 120)
     raw = [[x.astype("<i4").tobytes() for x in xs] for xs in (found, counts)]
-    made = lexical_search.Cell.build(list(range(n)), list(range(n)), *raw, np.array([c.sum() for c in counts]), by)
-    return lexical_search.Cell.from_row(*made.to_row())
+    n_terms = np.array([c.sum() for c in counts])
+    made = lexical_search.Cell.build(list(range(n)), list(range(n)), *raw, n_terms, by, asked.partners)
+    impacts = np.zeros((n, 120), np.int64)
+    for i, (t, c) in enumerate(zip(found, counts)):
+        impacts[i, t] = by.impacts(t, c, np.full(len(t), n_terms[i]))
+    return lexical_search.Cell.from_row(*made.to_row()), asked, by, impacts
 
 
 def test_bounds_hold_and_blocks_are_skipped(monkeypatch):
     monkeypatch.setattr(lexical_search, "BLOCK", 8)
-    c = cell(2)
+    monkeypatch.setattr(lexical_search, "ENTRIES_AT_ONCE", 300)
+    c, asked, by, impacts = cell(2)
+    widths = [len(asked.partners[t]) for t in c.own]
+    starts = np.cumsum([0, *[w * n for w, n in zip(widths, np.diff(c.lists))]])
     skipped = total = 0
-    for seed in range(10):
-        terms_ = np.sort(np.random.default_rng(seed).choice(len(c.own), 6, replace=False))
-        asked = np.zeros(len(c.own), np.int64)
-        asked[terms_] = 1
-        scores = c.scores(np.arange(400), asked)
-        bounds, least = c.bounds(terms_), int(np.sort(scores)[-20])
-        for b in range(len(bounds)):
-            members = c.members[c.blocks[b] : c.blocks[b + 1]]
-            assert 1 <= len(members) <= 8
-            assert len(members) == 1 or bounds[b] >= scores[members].max()
-        own = np.concatenate([np.arange(c.lists[t], c.lists[t + 1]) for t in terms_])
-        skipped += int((bounds[own] < least).sum())
-        total += len(own)
-        limits = np.full(1, least)
-        (_, documents, found), *_ = lexical_search.searched(c, [c.own[terms_]], limits, 400, False)
+    for item, terms_ in enumerate(asked.items):
+        scores = impacts[:, terms_].sum(1)
+        least = max(1, int(np.sort(scores)[-20]))
+        for t in np.flatnonzero(np.isin(c.own, terms_)).tolist():
+            summary = c.summary[starts[t] : starts[t + 1]].reshape(-1, widths[t])
+            bounds = summary[:, np.isin(asked.partners[c.own[t]], terms_)].sum(1, dtype=int) * c.unit
+            for b, bound in zip(range(c.lists[t], c.lists[t + 1]), bounds, strict=True):
+                members = c.members[c.blocks[b] : c.blocks[b + 1]]
+                assert 1 <= len(members) <= 8
+                assert bound >= scores[members].max()
+                skipped, total = skipped + (bound < least), total + 1
+        limits = np.full(len(asked.items), 1 << 60)
+        limits[item] = least
+        (number, documents, found), *rest = lexical_search.searched(c, asked, by, limits, 400, False)
+        assert number == item and not rest
         assert sorted(documents) == np.flatnonzero(scores >= least).tolist()
         assert found.tolist() == sorted(scores[scores >= least].tolist(), reverse=True)
     assert skipped > 0.2 * total
 
 
 def test_each_list_is_in_blocks_once():
-    c = cell(3)
+    c, _, _, impacts = cell(3)
     for t in range(len(c.own)):
         members = c.members[c.blocks[c.lists[t]] : c.blocks[c.lists[t + 1]]]
-        document = np.repeat(np.arange(400), np.diff(c.begin))
-        assert sorted(members) == document[c.term == t].tolist()
+        assert sorted(members) == np.flatnonzero(impacts[:, c.own[t]]).tolist()
