@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,6 +24,10 @@ MIN_SOURCE_CHARS = 50
 MIN_SUMMARY_WORDS = 10
 MAX_SUMMARY_WORDS = 100
 SUMMARY_SENTENCES = 3
+REPEATED_WORDS = 3
+
+# First words of a text that are searched for repeated runs before all of it is.
+REPEAT_LOOKS = (64, 2048)
 
 # The characters of WHITESPACE, spelled out for the trim functions.
 WHITESPACE_CHARS = "".join(
@@ -87,17 +92,56 @@ def long_enough(abstract: Column, min_chars: int = MIN_SOURCE_CHARS) -> Column:
     return F.coalesce(F.char_length(strip(abstract)) >= min_chars, F.lit(False))
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is evaluated once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _repeat_in(words: Column, n: int) -> Column:
+    """The first place at which ``n`` words begin that also begin earlier in the array."""
+    places = F.sequence(F.lit(1), F.size(words) - (n - 1))
+    grams = F.transform(places, lambda i: F.struct(F.array_join(F.slice(words, i, n), " ").alias("gram"), i.alias("at")))
+    later = bound(
+        F.sort_array(grams),
+        lambda g: F.array_min(
+            F.zip_with(F.slice(g, F.lit(2), F.size(g)), g, lambda a, b: F.when(a.gram == b.gram, a.at))
+        ),
+    )
+    return F.when(F.size(words) > n, later)
+
+
+def first_repeat(text: Column, n: int = REPEATED_WORDS) -> Column:
+    """The word (from 1) at which the first repeated run of ``n`` words begins again; null if none does.
+
+    Words are those of ``word_count``, in lower case. The beginning of a text is looked at first, so a text that soon
+    repeats itself ends early; otherwise its runs are sorted once.
+    """
+    words = F.regexp_extract_all(F.lower(text), F.lit(WORD_CHARACTER + "+"), F.lit(0))
+
+    def found(w: Column) -> Column:
+        early = [F.when(F.size(w) > size, _repeat_in(F.slice(w, 1, size), n)) for size in REPEAT_LOOKS]
+        return F.coalesce(*early, _repeat_in(w, n))
+
+    return bound(words, found)
+
+
 def is_valid_summary(
     summary: Column,
     min_words: int = MIN_SUMMARY_WORDS,
     max_words: int = MAX_SUMMARY_WORDS,
+    no_repeat: int | None = None,
 ) -> Column:
-    """Not blank, of acceptable length, and free of placeholder phrases. Null is invalid."""
+    """Not blank, of acceptable length, and free of placeholder phrases. Null is invalid.
+
+    With ``no_repeat`` a summary that repeats a run of so many words is invalid, too.
+    """
     lowered = F.lower(summary)
     placeholder = F.lit(False)
     for phrase in PLACEHOLDERS:
         placeholder = placeholder | lowered.contains(phrase)
     valid = (strip(summary) != "") & word_count(summary).between(min_words, max_words) & ~placeholder
+    if no_repeat is not None:
+        valid = valid & first_repeat(summary, no_repeat).isNull()
     return F.coalesce(valid, F.lit(False))
 
 
