@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,18 +45,39 @@ def prep_stats(
     return totals.select("*", *[size.alias(name) for name, size in sizes.items()])
 
 
-def generation_stats(labelled: DataFrame, by: str = "split") -> DataFrame:
-    """Counts, success rate and mean length of the summaries as generated, before any fallback."""
+def generation_stats(
+    labelled: DataFrame, by: str = "split", expected: Sequence[str] = (), total: str = "all"
+) -> DataFrame:
+    """Counts, success rate and mean length of the summaries as generated, before any fallback.
+
+    One row per split and one over all of them, named ``total``, from one pass over the rows. Each ``expected`` split has
+    its row, and a split without papers, or a table without any, has zeros. Rows without a split are a group of their own.
+    """
 
     def filled(name: str) -> Column:
         return F.coalesce(F.col(name) != "", F.lit(False)) if name in labelled.columns else F.lit(False)
 
+    if total in expected:
+        raise ValueError(f"no split can be named {total}, as the total is")
     has_summary = filled("summary")
-    counts = labelled.groupBy(by).agg(
+    length = F.when(has_summary, word_count(F.col("summary"))).alias("length")
+    flags = [has_summary.alias("summary"), filled("methods").alias("methods"), filled("results").alias("results")]
+    counts = labelled.select(F.col(by).cast("string").alias(by), *flags, length).rollup(by).agg(
+        F.grouping(by).cast("boolean").alias("is_total"),
         F.count(F.lit(1)).alias("total_papers"),
-        F.count_if(has_summary).alias("valid_summaries"),
-        F.count_if(filled("methods")).alias("valid_methods"),
-        F.count_if(filled("results")).alias("valid_results"),
-        F.coalesce(F.avg(F.when(has_summary, word_count(F.col("summary")))), F.lit(0.0)).alias("avg_summary_length"),
+        F.count_if("summary").alias("valid_summaries"),
+        F.count_if("methods").alias("valid_methods"),
+        F.count_if("results").alias("valid_results"),
+        F.avg("length").alias("avg_summary_length"),
+    )
+    counts = counts.withColumn(by, F.when(F.col("is_total"), F.lit(total)).otherwise(F.col(by)))
+    wanted = [(name, False) for name in dict.fromkeys(expected)] + [(total, True)]
+    wanted = labelled.sparkSession.createDataFrame(wanted, f"`{by}` string, is_total boolean")
+    whole = counts.join(wanted, [by, "is_total"], "full").drop("is_total")
+    numbers = ["total_papers", "valid_summaries", "valid_methods", "valid_results"]
+    return whole.select(
+        by,
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in numbers],
+        F.coalesce("avg_summary_length", F.lit(0.0)).alias("avg_summary_length"),
+        F.coalesce(F.try_divide("valid_summaries", "total_papers"), F.lit(0.0)).alias("summary_success_rate"),
     )
-    return counts.withColumn("summary_success_rate", F.col("valid_summaries") / F.col("total_papers"))
