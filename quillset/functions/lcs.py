@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 
 import pandas as pd
@@ -9,36 +10,71 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _rows(reference, candidate) -> list[int]:
-    """One bit vector per candidate prefix; its zero bits mark where the LCS grows along the reference.
+#: Tokens with more places than this keep their bit mask, which is as long as the text; others build it when it is needed.
+FEW_PLACES = 32
 
-    Bit-parallel dynamic programming (Hyyro 2004): a row of the table costs one big-integer addition.
+
+class _Table:
+    """The table of LCS sizes of a reference, row by row.
+
+    A row is one bit vector per candidate prefix; its zero bits mark where the LCS grows along the reference.
+    Bit-parallel dynamic programming (Hyyro 2004): the next row costs one big-integer addition.
     """
-    where: dict[str, int] = {}
-    for i, token in enumerate(reference):
-        where[token] = where.get(token, 0) | (1 << i)
-    full = (1 << len(reference)) - 1
-    rows = [full]
-    for token in candidate:
-        row = rows[-1]
-        hit = row & where.get(token, 0)
-        rows.append(((row + hit) | (row - hit)) & full)
-    return rows
+
+    def __init__(self, reference):
+        self.places: dict[str, list[int]] = {}
+        for i, token in enumerate(reference):
+            self.places.setdefault(token, []).append(i)
+        self.masks = {t: self._mask(p) for t, p in self.places.items() if len(p) > FEW_PLACES}
+        self.first = (1 << len(reference)) - 1
+
+    @staticmethod
+    def _mask(places: list[int]) -> int:
+        bits = bytearray(places[-1] // 8 + 1)
+        for i in places:
+            bits[i >> 3] |= 1 << (i & 7)
+        return int.from_bytes(bits, "little")
+
+    def after(self, row: int, token) -> int:
+        places = self.places.get(token)
+        if places is None:
+            return row
+        hit = row & (self.masks[token] if len(places) > FEW_PLACES else self._mask(places))
+        return ((row + hit) | (row - hit)) & self.first
 
 
 def lcs_size(reference, candidate) -> int:
-    return len(reference) - _rows(reference, candidate)[-1].bit_count()
+    """The size of the longest common subsequence; one row is held at a time."""
+    table = _Table(reference)
+    row = table.first
+    for token in candidate:
+        row = table.after(row, token)
+    return len(reference) - row.bit_count()
 
 
 def lcs_positions(reference, candidate) -> set[int]:
-    """Reference positions of one LCS, traced from the end, preferring to step back in the reference."""
-    rows = _rows(reference, candidate)
+    """Reference positions of one LCS, traced from the end, preferring to step back in the reference.
+
+    Of the rows only about the root of their number is kept; those between two kept ones are computed again when the
+    trace comes to them, so memory grows with the root of the candidate and time doubles.
+    """
+    table, step = _Table(reference), math.isqrt(len(candidate)) + 1
+    row, kept = table.first, [table.first]
+    for n, token in enumerate(candidate, 1):
+        row = table.after(row, token)
+        if n % step == 0:
+            kept.append(row)
+    i, j, found, rows, base = len(reference), len(candidate), set(), [], len(candidate) + 1
 
     def size(i: int, j: int) -> int:
-        return i - (rows[j] & ((1 << i) - 1)).bit_count()
+        return i - (rows[j - base] & ((1 << i) - 1)).bit_count()
 
-    i, j, found = len(reference), len(candidate), set()
     while i and j:
+        if j - 1 < base:
+            base = (j - 1) // step * step
+            rows = [kept[base // step]]
+            for token in candidate[base:j]:
+                rows.append(table.after(rows[-1], token))
         if reference[i - 1] == candidate[j - 1]:
             i, j = i - 1, j - 1
             found.add(i)

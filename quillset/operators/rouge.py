@@ -77,7 +77,9 @@ def _ngram_entries(metric: str, n: int) -> list[Column]:
 def rouge_scores(
     pairs: DataFrame, metrics: tuple[str, ...] = METRICS, stemmed: bool = True, key: str = "id"
 ) -> DataFrame:
-    """Precision, recall and F1, one row per pair and metric; keys must be unique.
+    """Precision, recall and F1, one row per pair and metric.
+
+    Keys must be unique and not null: where n-grams are counted by key, others are found by the same counts and raise.
 
     Texts are shuffled once, by key, and tokenized once for all metrics. The n-grams of both sides are
     then counted together, without a join, and since they stay with their key the counting needs no
@@ -118,11 +120,19 @@ def rouge_scores(
             F.sum("predicted").alias("predicted"),
             F.sum("expected").alias("expected"),
             F.max("overlap").alias("overlap"),
+            F.count(F.lit(1)).alias("entries"),
         )
         shared = F.coalesce("overlap", F.least("predicted", "expected"))
+        alone = F.max(F.when(F.coalesce(F.col("gram"), F.lit("")) == "", F.col("entries")))  # one for each pair of a key
         spread = counts.groupBy(key, "metric").agg(
-            F.sum("predicted").alias("predicted"), F.sum("expected").alias("expected"), F.sum(shared).alias("overlap")
+            F.sum("predicted").alias("predicted"),
+            F.sum("expected").alias("expected"),
+            F.sum(shared).alias("overlap"),
+            alone.alias("pairs"),
         )
+        unique = (F.col("pairs") == 1) & F.col(key).isNotNull()
+        said = F.concat(F.lit("no score for a key that is null or repeated: "), F.coalesce(F.col(key).cast("string"), F.lit("null")))
+        spread = spread.withColumn("overlap", F.when(unique, F.col("overlap")).otherwise(F.raise_error(said).cast("bigint")))
     scores = _scores(F.col("overlap"), F.col("predicted"), F.col("expected"))
     return spread.select(key, "metric", *scores)
 

@@ -1,6 +1,8 @@
 import random
+import tracemalloc
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from quillset.functions.lcs import lcs_positions, lcs_size, union_lcs_hits
@@ -44,6 +46,26 @@ def test_lcs_against_the_full_table():
         assert lcs_positions(a, b) == traced(a, b)
 
 
+def test_lcs_of_many_equal_and_many_different_tokens():
+    rng = random.Random(4)
+    for kinds, n in ((2, 150), (400, 300)):
+        a, b = [[str(rng.randrange(kinds)) for _ in range(n)] for _ in range(2)]
+        assert lcs_size(a, b) == table(a, b)[-1][-1]
+        assert lcs_positions(a, b) == traced(a, b)
+
+
+def test_memory_of_long_texts_stays_small():
+    rng = random.Random(5)
+    a, b = [[str(int(rng.paretovariate(0.6)) % 30_000) for _ in range(40_000)] for _ in range(2)]
+    tracemalloc.start()
+    lcs_size(a, b)
+    assert tracemalloc.get_traced_memory()[1] < 40e6
+    tracemalloc.reset_peak()
+    lcs_positions(a[:20_000], b[:20_000])
+    assert tracemalloc.get_traced_memory()[1] < 60e6
+    tracemalloc.stop()
+
+
 def test_union_lcs_example():
     # Lin 2004: reference w1..w5 against w1 w2 w6 w7 w8 and w1 w3 w8 w9 w5 covers w1 w2 w3 w5.
     assert union_lcs_hits([list("12345")], [list("12678"), list("13895")]) == 4
@@ -145,3 +167,11 @@ def test_reference_without_prediction_scores_zero(spark):
     references = spark.createDataFrame([(1, "a b"), (2, "c d")], "id int, reference string")
     found = {r.metric: r.value for r in evaluate_predictions(predictions, references).collect()}
     assert set(found.values()) == {50.0}
+
+
+@pytest.mark.parametrize("rows", [[(1, "a b", "a"), (1, "c", "c d")], [(None, "a", "a")], [(2, "", ""), (2, "", "")]])
+def test_repeated_and_null_keys_are_refused(spark, rows):
+    pairs = spark.createDataFrame([*rows, (7, "x", "x")], "id int, prediction string, reference string")
+    for metrics in (("rouge1",), ("rouge2", "rougeL")):
+        with pytest.raises(Exception, match="null or repeated"):
+            rouge_scores(pairs, metrics).collect()
