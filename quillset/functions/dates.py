@@ -7,12 +7,15 @@ from datetime import datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quillset.functions.text import bound
+
 # The accepted spellings.
 DATE_FORMAT = "%Y-%m-%d"
-ISO_MOMENT = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.,]\d+)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
-COMPACT_DATE = r"^\d{8}$"
-PLAIN_DATE = r"^\d{4}-\d{1,2}-\d{1,2}$"
-ZONE_SUFFIX = r"[:\d](Z|[+-]\d{2}(:?\d{2})?)$"
+ISO_DATE = r"(\d{4})(-?)(\d{2})\2(\d{2})"
+ISO_TIME = r"(\d{2})(?:(:?)(\d{2})(?:\6(\d{2}))?)?(?:[.,](\d+))?"
+ISO_ZONE = r"Z|([+-])(\d{2})(?:(:?)(\d{2})(?:\12(\d{2}))?)?(?:[.,]\d+)?"
+ISO_MOMENT = rf"^{ISO_DATE}(?:[\s\S]{ISO_TIME}(?:{ISO_ZONE})?)?\z"
+PLAIN_DATE = r"^\d{4}-\d{1,2}-\d{1,2}\z"
 TIME_WITH_ZONE = r"(T[\d:.]+)(Z|[+-]\d{2}:?\d{2})$"
 RANGE_SEPARATOR = ".."
 
@@ -20,23 +23,28 @@ RANGE_SEPARATOR = ".."
 def parse_published(text: Column) -> Column:
     """ISO text to a UTC ``timestamp_ntz``; else the date before the first space; else null.
 
-    Text without a zone is taken as UTC whatever the zone of the session.
+    With or without signs between the parts of the date, the time and the zone, any one sign between date and time, hours
+    alone, fractions of any length (cut to microseconds). Text without a zone is taken as UTC whatever the zone of the
+    session; an offset is taken off. One pattern takes a text apart.
     """
-    moment = F.when(text.rlike(ISO_MOMENT), F.replace(text, F.lit(","), F.lit(".")))
-    zoned = F.convert_timezone(
-        F.current_timezone(), F.lit("UTC"), moment.try_cast("timestamp").cast("timestamp_ntz")
-    )
-    has_zone = F.substring(text, 11, 100).rlike(ZONE_SUFFIX)
-    compact = F.when(
-        text.rlike(COMPACT_DATE),
-        F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2)),
-    )
+    parts = F.split(F.regexp_replace(text, ISO_MOMENT, r"$1-$3-$4|$5|$7|$8|$9|$10|$11|$13|$14"), r"\|")
+
+    def moment(p: Column) -> Column:
+        def part(i: int) -> Column:
+            return F.when(p[i] != "", p[i]).otherwise(F.lit("00"))
+
+        clock = F.concat_ws(":", part(1), part(2), part(3))
+        spelled = F.concat(p[0], F.lit(" "), clock, F.lit("."), F.rpad(F.substring(p[4], 1, 6), 6, "0"))
+        sign = F.when(p[5] == "-", -1).otherwise(1)
+        offset = [sign * part(i).cast("int") for i in (6, 7, 8)]
+        real = ~p[0].startswith("0000") & (part(6) < "24") & (part(7) < "60") & (part(8) < "60")
+        shift = F.make_dt_interval(F.lit(0), *offset[:2], offset[2].cast("decimal(18,6)"))
+        return F.when(real, spelled.try_cast("timestamp_ntz") - shift)
+
     head = F.split_part(text, F.lit(" "), F.lit(1))
-    plain = F.when(head.rlike(PLAIN_DATE), head)
+    plain = F.when(head.rlike(PLAIN_DATE) & ~head.startswith("0000"), head)
     return F.coalesce(
-        F.when(has_zone, zoned).otherwise(moment.try_cast("timestamp_ntz")),
-        compact.try_cast("date").cast("timestamp_ntz"),
-        plain.try_cast("date").cast("timestamp_ntz"),
+        F.when(text.rlike(ISO_MOMENT), bound(parts, moment)), plain.try_cast("date").cast("timestamp_ntz")
     )
 
 

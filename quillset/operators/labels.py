@@ -83,8 +83,8 @@ def label_papers(
     """Add ``summary``, ``methods`` and ``results``.
 
     Short abstracts get no summary, invalid summaries become null, and the other two are only asked for,
-    together, where the summary is valid. Without a predictor the first sentences are extracted and no
-    Python worker starts. With one, ``label_error`` holds what it raised for a row; store the result
+    together, where the summary is valid. Without a predictor the first sentences of the abstract are extracted for all of
+    them, no prompt is among them, and no Python worker starts. With one, ``label_error`` holds what it raised for a row; store the result
     before deriving anything from it, or the model runs again.
     """
     source = F.col("abstract")
@@ -106,7 +106,8 @@ def label_papers(
     if include_results:
         prompts["results"] = results_prompt(source)
     if prompts:
-        asked = F.array(*[F.when(F.col("summary").isNotNull(), prompt) for prompt in prompts.values()])
+        questions = prompts.values() if predictor is not None else [source] * len(prompts)  # sentences answer no prompt
+        asked = F.array(*[F.when(F.col("summary").isNotNull(), question) for question in questions])
         labelled = labelled.withColumn("_answers", predict(asked))
         for i, name in enumerate(prompts):
             labelled = labelled.withColumn(name, strip_to_null(F.col("_answers.texts")[i]))

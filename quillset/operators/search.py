@@ -9,20 +9,37 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillset.functions.text import WORD_CHARACTER, csv_items
+from quillset.functions.text import WHITESPACE, WORD_CHARACTER, csv_items
 from quillset.schemas import MAX_RESULTS
 
+# What joins terms, also at the ends of a text, and what is refused.
+OPERATOR_OR = re.compile(r"(?:^|(?<=\s))OR(?=\s|$)")
+OPERATOR_AND = re.compile(r"(?:^|(?<=\s))AND(?=\s|$)")
+UNREAD = re.compile(r"[\"()\[\]{}]")
+
 # Neither space nor word: no term matches across the two fields.
 FIELD_SEPARATOR = " | "
 
 
 def _mentions(terms: list[str]) -> Column:
     """Any of the terms as whole words, in any case, in title or abstract: one pattern over both."""
-    spelled = "|".join(r"\s+".join(re.escape(word) for word in term.lower().split()) for term in terms)
+    spelled = "|".join(f"{WHITESPACE}+".join(re.escape(word) for word in term.lower().split()) for term in terms)
     pattern = f"(?<!{WORD_CHARACTER})(?:{spelled})(?!{WORD_CHARACTER})"
     return F.lower(F.concat_ws(FIELD_SEPARATOR, "title", "abstract")).rlike(pattern)
 
 
+def parse_terms(free_text: str) -> list[list[str]]:
+    """``a AND b OR c`` as [[a, b], [c]]. Grouping and quotes are not read, and every operator needs a term on each side."""
+    if found := UNREAD.search(free_text):
+        raise ValueError(f"{found[0]} is not read in a search: terms are joined by OR and AND, without groups or quotes")
+    alternatives = [
+        [term.strip() for term in OPERATOR_AND.split(alternative)] for alternative in OPERATOR_OR.split(free_text)
+    ]
+    if not all(term and term not in ("OR", "AND") for terms in alternatives for term in terms):
+        raise ValueError(f"a term is missing beside OR or AND: {free_text.strip()}")
+    return alternatives
+
+
 def search_predicate(categories_csv: str = "", free_text: str = "") -> Column:
     """Any of the categories AND the free text, a list of terms joined by ``OR`` and ``AND``."""
     categories = csv_items(categories_csv)
@@ -32,9 +49,7 @@ def search_predicate(categories_csv: str = "", free_text: str = "") -> Column:
     if categories:
         keep = keep & F.arrays_overlap("categories", F.array(*[F.lit(c) for c in categories]))
     if free_text.strip():
-        alternatives = [
-            [term for term in alternative.split(" AND ") if term.strip()] for alternative in free_text.split(" OR ")
-        ]
+        alternatives = parse_terms(free_text)
         single = [terms[0] for terms in alternatives if len(terms) == 1]
         any_of = _mentions(single) if single else F.lit(False)
         for terms in alternatives:

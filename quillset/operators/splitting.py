@@ -38,7 +38,12 @@ class _Cut:
 
 
 def _split_hash(seed: int, key: list[str]) -> Column:
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key]))
+    """MD5 of the seed and the key's parts, each behind its length, so that different keys are different texts."""
+    parts = []
+    for c in key:
+        text = F.col(c).cast("string")
+        parts.append(F.coalesce(F.concat(F.char_length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    return F.md5(F.concat(F.lit(f"{seed}/"), *parts))
 
 
 def _histogram(hashes: DataFrame, depth: int) -> DataFrame:

@@ -13,10 +13,21 @@ from quillset.sources.jsonl import path_exists, read_jsonl
 STAGES = ["_small", "_filtered", "_with_summaries", ""]
 
 
-def save_splits(df: DataFrame, out_dir: str, stage: str = "") -> None:
-    """Write Parquet and JSON Lines, partitioned by split. An empty split leaves no folder."""
-    df.write.partitionBy("split").parquet(f"{out_dir}/papers{stage}.parquet")
-    df.write.partitionBy("split").option("ignoreNullFields", "false").json(f"{out_dir}/papers{stage}.jsonl")
+def save_splits(df: DataFrame, out_dir: str, stage: str = "", mode: str = "errorifexists") -> None:
+    """Write Parquet and JSON Lines, partitioned by split. An empty split leaves no folder.
+
+    Both targets are looked at before any work; ``overwrite`` replaces both. The rows are computed once: the JSON Lines
+    are written from the stored Parquet.
+    """
+    if mode not in ("errorifexists", "overwrite"):
+        raise ValueError(f"mode {mode}: errorifexists or overwrite")
+    stored, lines = f"{out_dir}/papers{stage}.parquet", f"{out_dir}/papers{stage}.jsonl"
+    there = [path for path in (stored, lines) if path_exists(df.sparkSession, path)]
+    if there and mode == "errorifexists":
+        raise FileExistsError(f"{there} would be replaced; pass mode='overwrite'")
+    df.write.mode(mode).partitionBy("split").parquet(stored)
+    again = df.sparkSession.read.schema(df.schema).parquet(stored)
+    again.write.mode(mode).partitionBy("split").option("ignoreNullFields", "false").json(lines)
 
 
 def split_path(out_dir: str, split: str, stage: str = "") -> str:
@@ -60,5 +71,15 @@ def training_stage(spark: SparkSession, out_dir: str) -> str:
 
 
 def load_training_splits(spark: SparkSession, out_dir: str, schema: T.StructType = LABELLED_PAPER) -> DataFrame:
-    stage = training_stage(spark, out_dir)
-    return load_splits(spark, {s: split_path(out_dir, s, stage) for s in ["train", "val", "test"]}, schema)
+    """The train, validation and test splits of the most refined stage, in the columns and types of ``schema``.
+
+    Read from Parquet where it is stored, so that only the wanted columns and splits are read; else from JSON Lines.
+    """
+    stage, names = training_stage(spark, out_dir), ["train", "val", "test"]
+    path = f"{out_dir}/papers{stage}.parquet"
+    if not path_exists(spark, path):
+        return load_splits(spark, {s: split_path(out_dir, s, stage) for s in names}, schema)
+    stored = spark.read.option("basePath", path).parquet(path).filter(F.col("split").isin(names))
+    columns = [F.col(f.name) if f.name in stored.columns else F.lit(None) for f in schema.fields]
+    typed = [c.cast(f.dataType).alias(f.name) for c, f in zip(columns, schema.fields)]
+    return stored.select(*typed, F.col("split").cast("string").alias("split"))

@@ -1,4 +1,5 @@
-from datetime import datetime
+import random
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,6 +19,14 @@ CASES = [
     ("2024-01-01 10:00:00 UTC", datetime(2024, 1, 1)),
     ("2024-1-5", datetime(2024, 1, 5)),
     ("20240101", datetime(2024, 1, 1)),
+    ("20240101T103000", datetime(2024, 1, 1, 10, 30)),
+    ("2024-01-01T10", datetime(2024, 1, 1, 10)),
+    ("2024-01-01_1030", datetime(2024, 1, 1, 10, 30)),
+    ("2024-01-01T10:00:00,1234567+05:30:15", datetime(2024, 1, 1, 4, 29, 45, 123456)),
+    ("2024-01-01T10:00+24:00", None),
+    ("2024-0101", None),
+    ("2024-01-01\n", None),
+    ("0000-01-01", None),
     ("2024", None),
     ("2024-01", None),
     ("2024-02-30", None),
@@ -72,3 +81,29 @@ def test_date_range_in_any_session_zone(spark):
             assert sorted(r.id for r in found) == ["a", "c", "d"], name
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def iso(text):
+    """What the standard library reads, in UTC; week dates aside."""
+    try:
+        moment = datetime.fromisoformat(text)
+    except ValueError:
+        try:
+            return datetime.strptime(text.split(" ")[0], "%Y-%m-%d")
+        except ValueError:
+            return None
+    return moment.astimezone(timezone.utc).replace(tzinfo=None) if moment.tzinfo else moment
+
+
+def test_spellings_as_the_standard_library_reads_them(spark):
+    rng = random.Random(6)
+    texts = []
+    for _ in range(1500):
+        date = rng.choice(["2024-03-07", "20240307", "2024-3-7", "2023-02-29", "2024-0307", "1999-12-31"])
+        clock = rng.choice(["", "10", "10:5", "1005", "10:05", "10:05:59", "100559", "10:0559", "25:00", "23:59:60"])
+        clock += rng.choice(["", "", ".5", ",25", ".1234567"]) if clock else ""
+        zone = rng.choice(["", "", "Z", "+05:30", "-0500", "+05", "+05:30:15", "+5", "+23:59", "-24:00", "+0530:15"])
+        texts.append(date + (rng.choice(["T", " ", "x", "_", "TT"]) + clock + zone if clock else rng.choice(["", " (v2)", "T"])))
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, x string")
+    found = {r.i: r.y for r in rows.select("i", parse_published(F.col("x")).alias("y")).collect()}
+    assert {(t, found[i]) for i, t in enumerate(texts)} == {(t, iso(t)) for t in texts}

@@ -27,8 +27,8 @@ def by_id(df):
 def test_native_labels(spark):
     found = by_id(label_papers(papers(spark, LONG, "x" * 49, "x" * 60)))
     assert found["0"].summary == "One two three four five six. Seven eight nine ten eleven. Twelve thirteen."
-    assert found["0"].methods.startswith("Extract the research methods used: One two")
-    assert found["0"].results.startswith("Summarize the main findings and results: One two")
+    assert found["0"].methods.startswith("One two")
+    assert found["0"].results.startswith("One two")
     for i in ("1", "2"):
         assert (found[i].summary, found[i].methods, found[i].results) == (None, None, None)
 

@@ -169,3 +169,6 @@ def test_search(spark):
     assert found("cs.CL", max_results=2) == ["3", "2"]
     with pytest.raises(ValueError):
         search_papers(papers, " , ", " ")
+    for text in (" OR ", "a OR", "AND b", "a AND  OR b", '"a b"', "(a OR b)", "a [b]"):
+        with pytest.raises(ValueError):
+            search_papers(papers, "", text)

@@ -139,3 +139,43 @@ def test_shared_dir_comes_from_the_session(spark, tmp_path):
     assert session.shared_dir(cluster) == "hdfs://n/ckpt"
     with pytest.raises(RuntimeError):
         session.shared_dir(Session(spark__master="yarn"))
+
+
+def numbered_rows(spark, ids, split):
+    return spark.createDataFrame([(i, f"t{i}", split) for i in ids], "id long, abstract string, split string")
+
+
+def test_targets_are_looked_at_before_the_work(spark, tmp_path):
+    out, seen = str(tmp_path / "data"), spark.sparkContext.accumulator(0)
+    splits.save_splits(numbered_rows(spark, [1], "train"), out)
+    watched = F.udf(lambda x: seen.add(1) or x, "string")
+    more = numbered_rows(spark, [2], "val").withColumn("abstract", watched("abstract"))
+    with pytest.raises(FileExistsError, match="overwrite"):
+        splits.save_splits(more, out)
+    (tmp_path / "lines").mkdir()
+    (tmp_path / "lines" / "papers.jsonl").mkdir()
+    with pytest.raises(FileExistsError, match="jsonl"):
+        splits.save_splits(more, str(tmp_path / "lines"))
+    assert seen.value == 0
+    splits.save_splits(more, out, mode="overwrite")
+    for kind in ("parquet", "json"):
+        stored = spark.read.format(kind).load(f"{out}/papers.{'jsonl' if kind == 'json' else kind}")
+        assert [(r.id, r.split) for r in stored.collect()] == [(2, "val")]
+    assert seen.value == 1  # both formats come from one computation
+    with pytest.raises(ValueError, match="append"):
+        splits.save_splits(more, out, mode="append")
+
+
+def test_training_splits_come_from_parquet(spark, tmp_path):
+    out = str(tmp_path / "data")
+    both = numbered_rows(spark, [1], "train").union(numbered_rows(spark, [2], "val")).union(numbered_rows(spark, [3], "other"))
+    splits.save_splits(both, out)
+    found = splits.load_training_splits(spark, out)
+    assert sorted((r.id, r.abstract, r.summary, r.split) for r in found.collect()) == [
+        ("1", "t1", None, "train"),
+        ("2", "t2", None, "val"),
+    ]
+    plan = found.filter("split = 'val'").select("id")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "ReadSchema: struct<id:bigint>" in plan
+    lines = splits.load_splits(spark, {s: splits.split_path(out, s) for s in ("train", "val")})
+    assert sorted(map(tuple, lines.collect())) == sorted(map(tuple, found.collect()))

@@ -46,7 +46,7 @@ def test_assignment_is_exact(spark, n):
 
 
 def test_assignment_is_the_rank_by_seeded_hash(spark):
-    ranked = sorted(range(200), key=lambda i: hashlib.md5(f"7:{i}:t{i}".encode()).hexdigest())
+    ranked = sorted(range(200), key=lambda i: hashlib.md5(f"7/{len(str(i))}:{i}{len(str(i)) + 1}:t{i}".encode()).hexdigest())
     expected = {str(i): "train" if r < 160 else "val" if r < 180 else "test" for r, i in enumerate(ranked)}
     for partitions in (1, 7):
         shuffled = numbered(spark, 200).repartition(partitions).orderBy(F.rand())
@@ -73,3 +73,10 @@ def test_repeated_key_is_refused(spark, monkeypatch):
     monkeypatch.setattr(splitting, "SORTABLE_ROWS", 3)
     with pytest.raises(ValueError):
         assign_splits(same)
+
+
+def test_parts_of_the_key_do_not_run_together(spark):
+    rows = [("a:b", "c"), ("a", "b:c"), ("a", None), (None, "a"), ("", "a"), ("a", ""), ("1:a", "x"), ("1", ":ax")]
+    keyed = spark.createDataFrame(rows, "id string, title string")
+    hashes = keyed.select(splitting._split_hash(1, ["id", "title"]).alias("h"))
+    assert hashes.distinct().count() == len(rows)
