@@ -99,7 +99,7 @@ LATEST = """latest AS (
 SPLIT = """sized AS (
   SELECT *, ceil(held * 0.5::double)::bigint AS test, n - held AS train
   FROM (SELECT count(*) AS n, ceil(count(*) * 0.2::double)::bigint AS held FROM latest)),
-ranked AS (SELECT *, row_number() OVER (ORDER BY md5('42:' || id || ':' || title)) AS r FROM latest),
+ranked AS (SELECT *, row_number() OVER (ORDER BY md5('42/' || length(id::varchar) || ':' || id || coalesce(length(title) || ':' || title, '-'))) AS r FROM latest),
 split_papers AS (
   SELECT r.* EXCLUDE (r), CASE WHEN r.r <= s.train THEN 'train' WHEN r.r <= s.n - s.test THEN 'val' ELSE 'test' END AS split
   FROM ranked r CROSS JOIN sized s)"""
@@ -113,8 +113,8 @@ def label(source: str) -> str:
 summarised AS (SELECT *, lang AS language, CASE WHEN {valid('draft')} THEN {strip('draft')} END AS summary FROM drafted),
 labelled AS (
   SELECT *,
-    CASE WHEN summary IS NOT NULL THEN nullif({strip(extract(f"('{METHODS_PROMPT}' || abstract)"))}, '') END AS methods,
-    CASE WHEN summary IS NOT NULL THEN nullif({strip(extract(f"('{RESULTS_PROMPT}' || abstract)"))}, '') END AS results
+    CASE WHEN summary IS NOT NULL THEN nullif({strip(extract('abstract'))}, '') END AS methods,
+    CASE WHEN summary IS NOT NULL THEN nullif({strip(extract('abstract'))}, '') END AS results
   FROM summarised)"""
 
 
@@ -158,6 +158,67 @@ def rouge(n: int, metric: str, tokens: str = "tokens") -> str:
   FROM {m}_f)"""
 
 
+def token_lines(x: str) -> str:
+    found = f"list_transform(string_split({strip(x)}, chr(10)), lambda l: regexp_extract_all(lower(l), '[a-z0-9]+'))"
+    return f"list_filter({found}, lambda l: len(l) > 0)"
+
+
+LINES = f"""lined AS (
+  SELECT id, {token_lines('prediction')} AS p, {token_lines('reference')} AS r FROM pairs)"""
+
+
+def stemmed_lines(side: str) -> str:
+    return f"list_transform({side}, lambda l: list_transform(l, lambda x: coalesce(m[x], x)))"
+
+
+def subsequence_scores(metric: str, overlaps: str, tokens: str) -> str:
+    return f"""{metric}_s AS (
+  SELECT id, coalesce(o, 0)::double AS o, len(p)::double AS np, len(r)::double AS nr
+  FROM (SELECT id, {tokens}) LEFT JOIN {overlaps} USING (id)),
+{metric} AS (
+  SELECT id, '{metric}' AS metric, CASE WHEN np > 0 THEN o / np ELSE 0 END AS "precision",
+    CASE WHEN nr > 0 THEN o / nr ELSE 0 END AS recall, CASE WHEN o > 0 THEN 2 * o / (np + nr) ELSE 0 END AS f1
+  FROM {metric}_s)"""
+
+
+def rouge_l(tokens: str) -> str:
+    """The common subsequence as the longest rising one among the places where tokens match."""
+    return f"""rougeL_p AS (SELECT id, unnest(p) AS t, unnest(range(len(p))) AS i FROM {tokens}),
+rougeL_r AS (SELECT id, unnest(r) AS t, unnest(range(len(r))) AS j FROM {tokens}),
+rougeL_m AS (SELECT id, list([j] ORDER BY i, j DESC) AS m FROM rougeL_p JOIN rougeL_r USING (id, t) GROUP BY id),
+rougeL_o AS (
+  SELECT id, len(list_reduce(m, lambda a, b: list_concat(
+      list_concat(list_filter(a, lambda x: x < b[1]), b), list_filter(a, lambda x: x >= b[1])[2:]),
+    CAST([] AS BIGINT[]))) AS o
+  FROM rougeL_m),
+{subsequence_scores('rougeL', 'rougeL_o', f'p, r FROM {tokens}')}"""
+
+
+def rouge_lsum(lines: str) -> str:
+    """The whole table of each pair of lines, traced from its end; what any line of the prediction covers counts once."""
+    row = """list_reduce(list_transform(range(1, len(r) + 1), lambda j: [j]), lambda a, j: list_append(a, greatest(
+      a[-1], g[-1][j[1] + 1], CASE WHEN r[j[1]] = p[k[1][1]] THEN g[-1][j[1]] + 1 ELSE 0 END)), CAST([0] AS BIGINT[]))"""
+    return f"""sum_x AS (SELECT id, r AS rs, unnest(p) AS p FROM {lines}),
+sum_y AS (SELECT id, p, unnest(rs) AS r, unnest(range(len(rs))) AS y FROM sum_x),
+sum_grid AS (
+  SELECT id, y, p, r, list_reduce(list_transform(range(1, len(p) + 1), lambda k: [[k]]),
+    lambda g, k: list_append(g, {row}), [list_transform(range(len(r) + 1), lambda z: CAST(0 AS BIGINT))]) AS g
+  FROM sum_y WHERE list_has_any(p, r)),
+sum_trace AS (
+  SELECT id, y, r, list_reduce(list_transform(range(len(p) + len(r)), lambda z: [z]), lambda s, z: CASE
+      WHEN s[1] = 0 OR s[2] = 0 THEN s
+      WHEN r[s[1]] = p[s[2]] THEN list_append(list_concat([s[1] - 1, s[2] - 1], s[3:]), s[1])
+      WHEN g[s[2]][s[1] + 1] > g[s[2] + 1][s[1]] THEN list_concat([s[1], s[2] - 1], s[3:])
+      ELSE list_concat([s[1] - 1, s[2]], s[3:]) END, [len(r), len(p)])[3:] AS hits
+  FROM sum_grid),
+sum_covered AS (SELECT DISTINCT id, y, place, r[place] AS t FROM (SELECT *, unnest(hits) AS place FROM sum_trace)),
+sum_predicted AS (SELECT id, t, count(*) AS n FROM (SELECT id, unnest(flatten(p)) AS t FROM {lines}) GROUP BY id, t),
+sum_o AS (
+  SELECT id, sum(least(c, n)) AS o
+  FROM (SELECT id, t, count(*) AS c FROM sum_covered GROUP BY id, t) JOIN sum_predicted USING (id, t) GROUP BY id),
+{subsequence_scores('rougeLsum', 'sum_o', f'flatten(p) AS p, flatten(r) AS r FROM {lines}')}"""
+
+
 def rounded_scores(metric: str) -> str:
     return f"""SELECT id, metric, round("precision", 6) AS "precision", round(recall, 6) AS recall, round(f1, 6) AS f1
 FROM {metric}"""
@@ -252,6 +313,19 @@ SELECT id, array_to_string(i[1:512], '|') AS input_ids, array_to_string(t[1:128]
 FROM tokenized"""
 
 
+def hits(k: int) -> str:
+    """The nearest vectors of every twentieth one, by a comparison with all."""
+    return f"""WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::double) AS v FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x <> 0)) > 0),
+compared AS (
+  SELECT q.vec_id AS query_id, r.vec_id AS id, round(list_cosine_similarity(q.v, r.v), 9) AS similarity
+  FROM vectors q JOIN vectors r ON q.vec_id % 20 = 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, id)::int AS rank FROM compared),
+hits AS (SELECT * FROM ranked WHERE rank <= {k})"""
+
+
 ORACLES: dict[str, str] = {
     "scan_jsonl": f"""WITH {RAW}
 SELECT arxiv_id::varchar AS arxiv_id, title, abstract, source || '|' || lang AS categories, published,
@@ -332,17 +406,75 @@ SELECT id, summary, lang AS split FROM labelled WHERE summary IS NOT NULL AND {s
 SELECT lang AS split, count(*) AS total, count(*) FILTER ({strip('summary')} <> '') AS kept FROM labelled GROUP BY lang""",
     "attach_labels": f"""{PAPERS}
 SELECT id, abs_words, quality, toxic FROM papers LEFT JOIN labels ON doc_id = id""",
-    "generation_stats": f"""{LABELLED}
-SELECT lang AS split, count(*) AS total_papers, count(*) FILTER (summary <> '') AS valid_summaries,
+    "generation_stats": f"""{LABELLED},
+counted AS (SELECT lang AS split, summary, methods, results FROM labelled
+  UNION ALL SELECT 'all' AS split, summary, methods, results FROM labelled),
+named AS (SELECT DISTINCT split FROM counted UNION SELECT unnest(['all', 'de', 'en', 'xx']))
+SELECT named.split, count(counted.split) AS total_papers, count(*) FILTER (summary <> '') AS valid_summaries,
   count(*) FILTER (methods <> '') AS valid_methods, count(*) FILTER (results <> '') AS valid_results,
   round(coalesce(avg({words('summary')}) FILTER (summary <> ''), 0), 6) AS avg_summary_length,
-  round(count(*) FILTER (summary <> '') / count(*)::double, 6) AS summary_success_rate
-FROM labelled GROUP BY lang""",
+  round(coalesce(count(*) FILTER (summary <> '') / nullif(count(counted.split), 0)::double, 0), 6) AS summary_success_rate
+FROM named LEFT JOIN counted ON counted.split = named.split GROUP BY named.split""",
+    "multitask_examples": f"""{LABELLED}
+SELECT id, 'summarization' AS task, abstract AS input, summary AS target, 1.0::double AS weight FROM labelled
+  WHERE summary IS NOT NULL
+UNION ALL SELECT id, 'method_extraction', 'extract methods: ' || abstract, methods, 0.5 FROM labelled
+  WHERE methods IS NOT NULL
+UNION ALL SELECT id, 'result_extraction', 'extract results: ' || abstract, results, 0.5 FROM labelled
+  WHERE results IS NOT NULL""",
+    "token_lengths": f"""{LABELLED},
+sizes AS (
+  SELECT lang AS split, 'input' AS side, 512 AS most, len({word_tokens('abstract')}) AS n FROM labelled
+  UNION ALL SELECT lang, 'target', 128, len({word_tokens("coalesce(summary, '')")}) FROM labelled),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY split, side ORDER BY n) AS r, count(*) OVER (PARTITION BY split, side) AS c
+  FROM sizes)
+SELECT split, side, count(*) AS examples, round(avg(n), 6) AS mean_length,
+  {', '.join(f'(min(n) FILTER (r >= ceil(c * {p} / 100.0)))::int AS p{p}' for p in (50, 90, 95, 99))},
+  max(n)::int AS longest, count(*) FILTER (n > most) AS truncated,
+  round(count(*) FILTER (n > most) / count(*)::double, 6) AS truncation_rate
+FROM placed GROUP BY split, side""",
+    "repetition_flag": f"""WITH worded AS (
+  SELECT doc_id, regexp_extract_all(lower(text), '{WORD}+') AS w FROM documents),
+grams AS (
+  SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM worded)),
+again AS (
+  SELECT doc_id, min(i) AS first_repeat
+  FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, g ORDER BY i) AS r FROM grams) WHERE r > 1 GROUP BY doc_id)
+SELECT doc_id, first_repeat::int AS first_repeat, first_repeat IS NOT NULL AS repeats
+FROM documents LEFT JOIN again USING (doc_id)""",
+    "knn_topk": f"{hits(10)} SELECT query_id, rank, id, round(similarity, 6) AS similarity FROM hits",
+    "rag_context": f"""{hits(5)},
+worded AS (
+  SELECT query_id, rank, id, coalesce(regexp_extract_all(text, '[^{SPACES}]+'), []) AS w
+  FROM hits LEFT JOIN documents ON doc_id = id),
+cut AS (
+  SELECT *, w[1:greatest(400 - coalesce(sum(len(w)) OVER (
+    PARTITION BY query_id ORDER BY rank, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 0)] AS taken
+  FROM worded)
+SELECT query_id,
+  coalesce(string_agg(array_to_string(taken, ' '), chr(10) || chr(10) ORDER BY rank, id) FILTER (len(taken) > 0), '') AS context,
+  (count(*) FILTER (len(taken) > 0))::int AS n_texts, sum(len(taken))::bigint AS n_words,
+  sum(len(taken)) < sum(len(w)) AS truncated
+FROM cut GROUP BY query_id""",
     "truncate_tokens": examples(word_tokens),
     "truncate_custom_tokens": examples(word_lengths),
     "rouge1": f"WITH {PAIRS}, {rouge(1, 'rouge1')} {rounded_scores('rouge1')}",
     "rouge2": f"WITH {PAIRS}, {rouge(2, 'rouge2')} {rounded_scores('rouge2')}",
     "rouge1_stem": f"WITH {PAIRS}, {STEMS}, {rouge(1, 'rouge1', 'stemmed')} {rounded_scores('rouge1')}",
+    "rougeL": f"WITH {PAIRS}, {rouge_l('tokens')} {rounded_scores('rougeL')}",
+    "rougeLsum": f"WITH {PAIRS}, {LINES}, {rouge_lsum('lined')} {rounded_scores('rougeLsum')}",
+    "rouge_corpus_stem": f"""WITH {PAIRS}, {LINES}, {STEMS},
+stem_map AS (SELECT map(list(token), list(w)) AS m FROM stems),
+stem_lines AS (
+  SELECT id, {stemmed_lines('p')} AS p, {stemmed_lines('r')} AS r FROM lined, stem_map),
+stem_tokens AS (SELECT id, flatten(p) AS p, flatten(r) AS r FROM stem_lines),
+{rouge(1, 'rouge1', 'stem_tokens')}, {rouge(2, 'rouge2', 'stem_tokens')},
+{rouge_l('stem_tokens')}, {rouge_lsum('stem_lines')}
+SELECT metric, round(avg(f1) * 100, 2) AS value FROM (
+  SELECT * FROM rouge1 UNION ALL SELECT * FROM rouge2 UNION ALL SELECT * FROM rougeL UNION ALL SELECT * FROM rougeLsum)
+GROUP BY metric""",
     "rouge_corpus": f"""WITH {PAIRS}, {rouge(1, 'rouge1')}, {rouge(2, 'rouge2')}
 SELECT metric, round(avg(f1) * 100, 2) AS value FROM (SELECT * FROM rouge1 UNION ALL SELECT * FROM rouge2)
 GROUP BY metric""",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quillset.catalog import tables
 from quillset.functions import text
 from quillset.functions.dates import parse_published
-from quillset.operators import examples, labels, rouge, splitting, stats
+from quillset.operators import context, examples, labels, neighbours, rouge, splitting, stats
 from quillset.operators.papers import dedup_latest, filter_date_range, filter_min_words, normalize_source
 from quillset.operators.search import search_papers
 from quillset.plans.evaluate import evaluate_predictions
@@ -242,7 +242,7 @@ def attach_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def generation_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(stats.generation_stats(labelled(spark, sf_dir)))
+    return rounded(stats.generation_stats(labelled(spark, sf_dir), expected=["de", "en", "xx"]))
 
 
 # Training examples
@@ -265,6 +265,49 @@ def truncate_custom_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens_of(examples.training_examples(labelled(spark, sf_dir), word_length_tokenizer), joined_ints)
 
 
+def multitask_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return examples.multitask_examples(labelled(spark, sf_dir))
+
+
+def token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(examples.token_lengths(labelled(spark, sf_dir)))
+
+
+def repetition_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = tables.documents(spark, sf_dir).select("doc_id", text.first_repeat(F.col("text")).alias("first_repeat"))
+    return found.select("doc_id", "first_repeat", F.col("first_repeat").isNotNull().alias("repeats"))
+
+
+# Retrieval
+
+
+def asked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.table(spark, sf_dir, "embeddings").filter(F.col("vec_id") % 20 == 0)
+
+
+def knn_hits(spark: SparkSession, sf_dir: str, k: int, exact: bool) -> DataFrame:
+    index = neighbours.build_index(tables.table(spark, sf_dir, "embeddings"), "vec_id", "embedding", k)
+    probes = len(index.centres) if exact else None
+    return neighbours.search(index, asked(spark, sf_dir), "vec_id", "embedding", k, probes)
+
+
+def knn_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(knn_hits(spark, sf_dir, 10, exact=True))
+
+
+def knn_topk_probed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(knn_hits(spark, sf_dir, 10, exact=False))
+
+
+def recommend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(neighbours.neighbour_graph(tables.table(spark, sf_dir, "embeddings"), "vec_id", "embedding"))
+
+
+def rag_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = tables.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    return context.rag_context(knn_hits(spark, sf_dir, 5, exact=True), texts)
+
+
 # Evaluation
 
 
@@ -335,6 +378,13 @@ QUERIES: dict[str, Query] = {
     "generation_stats": generation_stats,
     "truncate_tokens": truncate_tokens,
     "truncate_custom_tokens": truncate_custom_tokens,
+    "multitask_examples": multitask_examples,
+    "token_lengths": token_lengths,
+    "repetition_flag": repetition_flag,
+    "knn_topk": knn_topk,
+    "knn_topk_probed": knn_topk_probed,
+    "recommend": recommend,
+    "rag_context": rag_context,
     "rouge1": rouge1,
     "rouge2": rouge2,
     "rouge1_stem": rouge1_stem,
