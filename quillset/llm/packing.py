@@ -71,7 +71,6 @@ def byte_bpe(ranks: str | None = None, model: str | None = None) -> Encoder:
 
     import public_tokenizers
     import tiktoken
-    from tokenizers import Tokenizer
 
     path = ranks or public_tokenizers.path("byte_bpe_50k.tiktoken")
     with open(path, "rb") as lines:
@@ -81,7 +80,12 @@ def byte_bpe(ranks: str | None = None, model: str | None = None) -> Encoder:
         "byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens=special
     )
     long_blank = re.compile(rf"\s{{{BLANK_RUN}}}")
-    other = functools.cache(lambda: Tokenizer.from_file(model or public_tokenizers.path("byte_bpe_50k.json")))
+
+    @functools.cache
+    def other():  # loaded if a text needs it
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(model or public_tokenizers.path("byte_bpe_50k.json"))
 
     def ids(text: str) -> list[int]:
         if len(text) >= BLANK_RUN and long_blank.search(text):
