@@ -5,9 +5,11 @@ all ways to segment it into pieces, by the forward algorithm, and a text is its
 learned by expectation maximisation (forward-backward over the same lattices) on a bounded sample of texts whose
 language is known. The score of a prediction is its posterior under equal priors.
 
-Words are runs of letters, in lower case; words above ``WORD_LETTERS`` letters are read in parts. A letter that the
-vocabulary lacks has the same small probability in all languages. Null texts and texts without a letter are ``und``
-with score 0. Without any labelled row every text is ``und``.
+Words are runs of letters, in lower case, of any length: words above ``WORD_LETTERS`` letters, and those whose probability
+is too small for a float, are summed in logarithms, one by one. A letter that the vocabulary lacks has the same small
+probability in all languages. Null texts and texts without a letter are ``und`` with score 0; of languages with equal
+probability the first by name is predicted; repeated rows are predicted alike. Without any labelled row every text is
+``und``.
 """
 
 from __future__ import annotations
@@ -27,7 +29,10 @@ from quillset.llm.common import add_columns, bounded_sample, held_out
 SAMPLE_ROWS = 1500
 #: Rounds of expectation maximisation.
 ROUNDS = 4
+#: Words up to this length share a lattice.
 WORD_LETTERS = 48
+#: Probabilities below this are computed in logarithms.
+LEAST_CHANCE = 1e-250
 SMOOTHING = 0.02
 UNKNOWN = 1e-7
 UNDETERMINED = "und"
@@ -52,10 +57,7 @@ def public_pieces(path: str | None = None) -> list[str]:
 
 
 def text_words(text: str | None) -> list[str]:
-    words = find_words((text or "").lower())
-    if max(map(len, words), default=0) <= WORD_LETTERS:
-        return words
-    return [w[i : i + WORD_LETTERS] for w in words for i in range(0, len(w), WORD_LETTERS)]
+    return find_words((text or "").lower())
 
 
 def piece_hashes(letters: np.ndarray, longest: int) -> Iterator[np.ndarray]:
@@ -141,17 +143,43 @@ class Lattice:
     def chances(self, chance: np.ndarray) -> np.ndarray:
         return self.forward(chance)[np.arange(len(self.length)), self.length]
 
-    def expected(self, chance: np.ndarray, weight: np.ndarray) -> np.ndarray:
-        """Expected uses of each piece over all segmentations, for one language."""
+    def expected(self, chance: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Expected uses of each piece over all segmentations, for one language, but for words that are too improbable;
+        and which words these are."""
         alpha = self.forward(chance)[:, :, 0]
         beta = np.zeros_like(alpha)
-        beta[np.arange(len(self.length)), self.length] = weight / alpha[np.arange(len(self.length)), self.length]
+        whole = alpha[np.arange(len(self.length)), self.length]
+        lost = whole < LEAST_CHANCE
+        beta[np.arange(len(self.length)), self.length] = np.where(lost, 0.0, weight / np.where(lost, 1.0, whole))
         counts = np.zeros(len(chance))
         for part in reversed(self.slices()):
             w, i, j, p = self.word[part], self.start[part], self.end[part], self.piece[part]
             used = beta[w, j] * chance[p, 0]
             np.add.at(beta, (w, i), used)
             counts += np.bincount(p, used * alpha[w, i], minlength=len(chance))
+        return counts, lost
+
+    def log_forward(self, logs: np.ndarray) -> np.ndarray:
+        """Logarithms of the sums over all segmentations of each prefix of the only word: (position, language)."""
+        alpha = np.full((int(self.length[0]) + 1, logs.shape[1]), -np.inf)
+        alpha[0] = 0
+        for part in self.slices():
+            value = alpha[self.start[part]] + logs[self.piece[part]]
+            most = value.max(0)
+            alpha[self.end[part.start]] = most + np.log(np.exp(value - most).sum(0))
+        return alpha
+
+    def log_expected(self, logs: np.ndarray) -> np.ndarray:
+        """Expected uses of each piece in the only word, for one language."""
+        alpha, n = self.log_forward(logs)[:, 0], int(self.length[0])
+        beta = np.full(n + 1, -np.inf)
+        beta[n] = 0
+        counts = np.zeros(len(logs))
+        for part in reversed(self.slices()):
+            i, p, j = self.start[part], self.piece[part], int(self.end[part.start])
+            used = logs[p, 0] + beta[j]
+            beta[i] = np.logaddexp(beta[i], used)
+            np.add.at(counts, p, np.exp(used + alpha[i] - alpha[n]))
         return counts
 
 
@@ -164,18 +192,27 @@ class LanguageModel:
     logs: np.ndarray | None = None
 
     def meet(self, words: set[str]) -> None:
-        """Make the log chances of words known; a full memory starts anew."""
-        fresh = sorted(words - self.known.keys())
-        if len(self.known) + len(fresh) > CACHED_WORDS:
+        """Make the log chances of words known; a full memory starts anew, and so does one with long words."""
+        fresh = sorted(words - self.known.keys(), key=lambda w: (len(w), w))
+        if len(self.known) + len(fresh) > CACHED_WORDS or self.known and len(next(reversed(self.known))) > WORD_LETTERS:
             self.known.clear()
-            fresh = sorted(words)
+            fresh = sorted(words, key=lambda w: (len(w), w))
         found = [np.zeros((0, len(self.languages))) if self.logs is None or not self.known else self.logs]
-        for at in range(0, len(fresh), WORDS_AT_ONCE):
-            chances = Lattice.of(fresh[at : at + WORDS_AT_ONCE], self.pieces).chances(self.chance)
-            found.append(np.log(np.maximum(chances, 1e-300)))
+        short = sum(len(w) <= WORD_LETTERS for w in fresh)
+        for at in range(0, short, WORDS_AT_ONCE):
+            some = fresh[at : min(at + WORDS_AT_ONCE, short)]
+            chances = Lattice.of(some, self.pieces).chances(self.chance)
+            logs = np.log(np.maximum(chances, LEAST_CHANCE))
+            for i in np.flatnonzero((chances < LEAST_CHANCE).any(1)).tolist():
+                logs[i] = self.log_chance(some[i])
+            found.append(logs)
+        found += [self.log_chance(w)[None] for w in fresh[short:]]
         self.known.update({w: len(found[0]) + i for i, w in enumerate(fresh)})
         self.logs = np.concatenate(found) if len(found) > 1 else found[0]
 
+    def log_chance(self, word: str) -> np.ndarray:
+        return Lattice.of([word], self.pieces).log_forward(np.log(self.chance))[-1]
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         names, scores = [], np.zeros(len(texts))
         held: list[list[str]] = []
@@ -206,12 +243,19 @@ def learn(words: dict[str, dict[str, int]], pieces: list[str], rounds: int = ROU
     for k, language in enumerate(languages):
         own = np.full((len(pieces) + 1, 1), 1 / len(pieces))
         own[-1] = UNKNOWN
-        texts, counts = list(words[language]), np.array(list(words[language].values()), float)
+        texts = sorted(words[language], key=lambda w: (len(w) > WORD_LETTERS, w))
+        counts = np.array([words[language][w] for w in texts], float)
+        short = sum(len(w) <= WORD_LETTERS for w in texts)
         for _ in range(rounds):
             expected = np.full(len(pieces) + 1, SMOOTHING)
-            for at in range(0, len(texts), WORDS_AT_ONCE):
-                part = slice(at, at + WORDS_AT_ONCE)
-                expected += Lattice.of(texts[part], table).expected(own, counts[part])
+            alone = list(range(short, len(texts)))
+            for at in range(0, short, WORDS_AT_ONCE):
+                part = slice(at, min(at + WORDS_AT_ONCE, short))
+                found, lost = Lattice.of(texts[part], table).expected(own, counts[part])
+                expected += found
+                alone += (at + np.flatnonzero(lost)).tolist()
+            for i in alone:
+                expected += counts[i] * Lattice.of([texts[i]], table).log_expected(np.log(own))
             own[:-1, 0] = expected[:-1] / expected[:-1].sum()
         chance[:, k] = own[:, 0]
     return LanguageModel(languages, table, chance)
