@@ -6,7 +6,8 @@ A match of ``window`` words or more covers all words it holds; so does the occur
 that no item has reset the automaton, so only stretches of known words are walked.
 
 Items are put into shards of at most ``SHARD_WORDS`` words, each with an automaton of its own that is broadcast. One
-shard is the usual case and reads the texts once, without a shuffle; more items mean more passes whose hits are joined.
+shard is the usual case and reads the texts once, without a shuffle; more items mean more passes, one after another, each
+of which joins its hits to those written by the pass before.
 
 Null and empty texts have no words; null and empty items have no windows. Items with one id count as one item; an item
 without an id is matched but not listed.
@@ -15,6 +16,7 @@ without an id is matched but not listed.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillset.llm.common import add_columns
+from quillset.session import stage
 
 WINDOW = 10
 #: Words of the items in one automaton, at most (an item is never cut).
@@ -176,19 +179,18 @@ class Automaton:
         return longest
 
 
-def shards(items: DataFrame, id_col="item_id", text_col="text") -> list[list[tuple[str | None, str | None]]]:
-    """The items in lists of at most ``SHARD_WORDS`` words, fetched one after another."""
-    sized = items.select(
-        F.col(id_col).cast("string").alias("id"),
-        F.col(text_col).alias("text"),
-        F.coalesce(F.octet_length(text_col), F.lit(0)).alias("size"),
-    )
-    total = sized.agg(F.sum("size")).first()[0] or 0
-    n = 1 + 2 * total // (2 * SHARD_WORDS)  # a word and its separator have two bytes at least
-    if n == 1:
-        return [[(r["id"], r["text"]) for r in sized.collect()]]
+def shards(
+    items: DataFrame, id_col="item_id", text_col="text"
+) -> tuple[int, Iterator[list[tuple[str | None, str | None]]]]:
+    """How many lists of about ``SHARD_WORDS`` words at most the items make, and the lists, fetched one after another.
+
+    Equal items are one; the driver holds one list at a time.
+    """
+    plain = items.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).distinct()
+    total = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = 1 + total // (2 * SHARD_WORDS)  # a word and its separator have two bytes at least
     of = F.pmod(F.xxhash64("id", "text"), F.lit(n))
-    return [[(r["id"], r["text"]) for r in sized.filter(of == k).collect()] for k in range(n)]
+    return n, ([(r["id"], r["text"]) for r in (plain.filter(of == k) if n > 1 else plain).collect()] for k in range(n))
 
 
 def find_contamination(
@@ -201,10 +203,13 @@ def find_contamination(
     items with occurring windows. With ``cut`` the covered words are cut from the text. An existing ``out`` is replaced.
     """
     found = docs.drop(out)
-    parts = shards(items, item_id, item_text)
-    for i, shard in enumerate(parts):
+    n, lists = shards(items, item_id, item_text)
+    for i, shard in enumerate(lists):
         shared = docs.sparkSession.sparkContext.broadcast(Automaton.of(shard, window))
-        found = scan(found, shared, text_col, out, more=i > 0, cut=cut and i + 1 == len(parts))
+        found = scan(found, shared, text_col, out, more=i > 0, cut=cut and i + 1 == n)
+        if i + 1 < n:  # so that no task holds two automata, and the driver lets go of this one
+            found = stage(found, "contamination")
+            shared.destroy()
     return found
 
 
