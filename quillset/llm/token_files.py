@@ -28,11 +28,13 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -50,25 +52,32 @@ FRAMES_PER_FILE = 256
 #: Ids of a partition, about.
 PART_IDS = 1 << 24
 #: The frequencies sum to two to this power, or more for large vocabularies.
-LEAST_BITS = 20
+LEAST_BITS = 18
 LOW = np.uint64(1 << 31)
 WORD = np.uint64(32)
 #: Words kept with their ids in a worker, and the longest that is kept.
-CACHED_WORDS, CACHED_LETTERS = 300_000, 40
+CACHED_WORDS, MOST_BYTES = 800_000, 48
+#: Bytes of texts that become ids at once, about.
+BYTES_AT_ONCE = 1 << 23
+#: Letters of Latin-1, which are one code point in the normal form, and ASCII signs that are no letter, digit or apostrophe.
+PLAIN, MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 #: Layouts; heads of frames are two of them in a row.
 HEAD, FRAME, TABLE = "<4sI", "<7I2q", "<4s3I"
 HEAD_SIZE, HEADS_SIZE, TABLE_SIZE = struct.calcsize(HEAD), struct.calcsize(HEAD) + struct.calcsize(FRAME), struct.calcsize(TABLE)
 
-#: Texts to ids as little-endian unsigned 32-bit integers.
-Encoder = Callable[[list[str]], list[bytes]]
+#: A column of texts to the ids of all of them in a row, and how many each has.
+Encoder = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 
 
 class WordIds:
     """Ids by the tokenizers library, which is asked once for each word between blanks and line feeds.
 
     The vocabulary's pattern matches no white space and nothing of the normalization looks beyond it, so the ids of a
-    text are those of its words in turn (the tests compare them). The words kept are bounded; long ones are not kept.
+    text are those of its words in turn. Most words are letters of ``PLAIN`` with signs of ``MARKS`` behind them, which the
+    pattern parts from letters: both are whole matches, and the library's model is asked for their ids, the letters in
+    lower case and spelled as the vocabulary spells bytes. All other words go through the library as they are. The tests
+    compare with whole texts. Words are told apart in Arrow, and what is kept of them is bounded.
     """
 
     def __init__(self, path: str | None = None):
@@ -76,24 +85,88 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path("word_bpe_49k.json"))
-        self.known: dict[str, bytes] = {"": b""}
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        return [self.of(t) for t in texts]
-
-    def of(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
-        known = self.known
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        if not new:
-            return b"".join(map(known.__getitem__, words))
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        ids = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(new, found, strict=True)}
-        whole = b"".join([ids[w] if w in ids else known[w] for w in words])
-        if len(known) + len(new) > CACHED_WORDS:
-            self.known = {"": b""}
-        self.known.update((w, x) for w, x in ids.items() if len(w) <= CACHED_LETTERS)
-        return whole
+        spell = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.spelled = {c: spell(chr(c))[0][0] for c in [*range(0xDF, 0xF7), *range(0xF8, 0x100)]}
+        self.forget()
+
+    def forget(self) -> None:
+        self.matches: dict[str, int] = {"": 0}
+        self.words: dict[str, int] = {}
+        self.ids = array("I")
+        self.begin = array("Q", [0, 0])  # of each number's ids, and the end of the last
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        lists = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        words = lists.flatten().dictionary_encode()
+        if len(self.begin) + len(words.dictionary) > CACHED_WORDS:
+            self.forget()
+        ids, begin = self.of_words(words.dictionary)
+        at, sizes = gathered(begin, words.indices.to_numpy())
+        ends = np.append(0, np.cumsum(sizes))[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        return ids[at], np.diff(ends)
+
+    def of_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct words in a row, and where each word's begin."""
+        core = pc.utf8_rtrim(words, characters=MARKS)
+        plain = pc.and_(pc.match_substring_regex(core, f"^[{PLAIN}]+$"), pc.less(pc.binary_length(words), MOST_BYTES))
+        is_plain = plain.to_numpy(zero_copy_only=False)
+        numbers = np.zeros((len(words), 2), np.int64)
+        letters = pc.utf8_lower(core.filter(plain)).dictionary_encode()
+        numbers[is_plain, 0] = self.of_matches(letters)
+        marked = pc.and_(plain, pc.not_equal(core, words))
+        marks = pc.replace_substring_regex(words.filter(marked), f"^[{PLAIN}]+", "").dictionary_encode()
+        numbers[marked.to_numpy(zero_copy_only=False), 1] = self.of_matches(marks)
+        numbers[~is_plain, 0] = self.of_others(words.filter(pc.invert(plain)).to_pylist())
+        at, sizes = gathered(np.frombuffer(self.begin, np.uint64).astype(np.int64), numbers.ravel())
+        ids = np.frombuffer(self.ids, np.uint32)[at]
+        return ids, np.append(0, np.cumsum(sizes.reshape(-1, 2).sum(1)))
+
+    def of_matches(self, texts: pa.DictionaryArray) -> np.ndarray:
+        known, ask, keep, end = self.matches, self.tokenizer.model.tokenize, self.ids.extend, self.begin.append
+        distinct = texts.dictionary.to_pylist()
+        numbers = list(map(known.get, distinct))
+        total = len(self.ids)
+        for i, number in enumerate(numbers):
+            if number is None:
+                x = distinct[i]
+                ids = [t.id for t in ask(x if x.isascii() else x.translate(self.spelled))]
+                total += len(ids)
+                keep(ids)
+                numbers[i] = known[x] = len(self.begin) - 1
+                end(total)
+        return np.array(numbers, np.int64)[texts.indices.to_numpy()]
+
+    def of_others(self, words: list[str]) -> list[int]:
+        new = [w for w in words if w not in self.words]
+        for at in range(0, len(new), 1000):
+            some = new[at : at + 1000]
+            for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                self.words[w] = self.add(e.ids)
+        found = [self.words[w] for w in words]
+        for w in new:
+            if len(w) > MOST_BYTES:
+                del self.words[w]
+        return found
+
+    def add(self, ids: list[int]) -> int:
+        self.ids.extend(ids)
+        self.begin.append(len(self.ids))
+        return len(self.begin) - 2
+
+
+def of_bytes(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts, the second column, have about so many bytes."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+    share = np.cumsum(sizes, dtype=np.int64) // most
+    edges = [0, *(np.flatnonzero(np.diff(share)) + 1).tolist(), batch.num_rows]
+    return (batch.slice(a, b - a) for a, b in zip(edges[:-1], edges[1:], strict=True) if b > a)
+
+
+def gathered(begin: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of the entries of ``numbers``, and how many each has."""
+    size = begin[numbers + 1] - begin[numbers]
+    first = np.cumsum(size) - size
+    return np.arange(size.sum()) + np.repeat(begin[numbers] - first, size), size
 
 
 @dataclass
@@ -235,7 +308,7 @@ class PartWriter:
         self.coded_of_first = 0
 
     def add(self, doc_id: int | None, ids: np.ndarray) -> Iterator[bytes]:
-        self.held.append(ids)
+        self.held.append(ids.astype(np.uint32, copy=False))
         self.open.append((doc_id or 0, doc_id is None, len(ids)))
         self.size += len(ids)
         if self.size >= BLOCK * BLOCKS_AT_ONCE:
@@ -331,28 +404,35 @@ def decoded(table: Table, lookup: np.ndarray, frames: list[bytes]) -> Iterator[t
         yield head, directory, found
 
 
-def crc_joined(first: int, second: int, length: int) -> int:
-    """The CRC-32 of two strings in a row, from the CRC of each and the bytes of the second.
+class JoinedCrc:
+    """The CRC-32 of strings in a row, from the CRC of each and its bytes.
 
-    A zero bit after a string is a linear map of the 32 bits of its CRC; the map of many is found by squaring.
+    A zero bit after a string is a linear map of the 32 bits of its CRC; the maps of 1, 2, 4, ... zero bits are found by
+    squaring, once.
     """
 
-    def times(matrix: list[int], vector: int) -> int:
+    def __init__(self):
+        self.maps = [[0xEDB88320, *[1 << k for k in range(31)]]]
+
+    @staticmethod
+    def times(rows: list[int], vector: int) -> int:
         out = 0
-        for row in matrix:
+        for row in rows:
             if vector & 1:
                 out ^= row
             vector >>= 1
         return out
 
-    matrix = [0xEDB88320, *[1 << k for k in range(31)]]
-    zeros = 8 * length
-    while zeros:
-        if zeros & 1:
-            first = times(matrix, first)
-        matrix = [times(matrix, row) for row in matrix]
-        zeros >>= 1
-    return first ^ second
+    def __call__(self, first: int, second: int, length: int) -> int:
+        """The CRC of two strings; ``length`` is the bytes of the second."""
+        zeros, k = 8 * length, 0
+        while zeros >> k:
+            if k == len(self.maps):
+                self.maps.append([self.times(self.maps[-1], row) for row in self.maps[-1]])
+            if zeros >> k & 1:
+                first = self.times(self.maps[k], first)
+            k += 1
+        return first ^ second
 
 
 def write_ids(
@@ -364,23 +444,37 @@ def write_ids(
     end_id: int = END_ID,
 ) -> None:
     """Write the ids of all texts, in ascending order of the integer id, below ``path`` (``ids`` and ``table``)."""
-    end = np.array([end_id], "<u4").tobytes()
-
-    def load():
-        encode = encoder()
-
-        def ids(texts: list) -> tuple[list[bytes], list[int], list[int]]:
-            found = [x + end for x in encode([t or "" for t in texts])]
-            return found, [len(x) // 4 for x in found], [zlib.crc32(x) for x in found]
-
-        return ids
 
-    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    long_ = T.LongType()
-    made = [T.StructField("ids", T.BinaryType()), T.StructField("n", long_), T.StructField("crc", long_)]
-    rows = add_columns(plain.withColumnRenamed("text", "ids"), load, "ids", made)
+    def tokenized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, total = encoder(), np.zeros(0, np.int64)
+        names = ["doc_id", "ids", "n", "crc", "counts"]
+        for batch in (some for b in batches for some in of_bytes(b, BYTES_AT_ONCE)):
+            found, sizes = encode(batch.column(1))
+            ends = np.cumsum(sizes)
+            whole = np.insert(found.astype("<u4"), ends, end_id)
+            found = np.bincount(whole, minlength=len(total))
+            found[: len(total)] += total
+            total = found
+            edges = 4 * np.append(0, ends + np.arange(1, len(ends) + 1))
+            raw = memoryview(whole.tobytes())
+            crc = [zlib.crc32(raw[a:b]) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+            if whole.max(initial=0) < 1 << 16:  # staged and shuffled in half the bytes
+                raw, edges = whole.astype("<u2").tobytes(), edges // 2
+            ids = pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(edges), pa.py_buffer(raw)])
+            columns = [batch.column(0), ids.cast(pa.binary()), pa.array(sizes + 1), pa.array(crc, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(sizes), pa.binary())], names=names)
+            pa.default_memory_pool().release_unused()
+        held = np.flatnonzero(total)
+        counts = np.stack((held, total[held])).astype("<i8").tobytes()  # the task's own counts, in a row of their own
+        last = [[None], [b""], [0], [0], [counts]]
+        kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(last, kinds, strict=True)], names=names)
+
+    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = plain.mapInArrow(tokenized, "doc_id long, ids binary, n long, crc long, counts binary")
     rows = stage(rows.withColumn("row", F.monotonically_increasing_id()), "token-rows")
-    table = frequencies(rows)
+    table = frequencies(rows.filter("counts is not null"))
+    rows = rows.filter("counts is null").drop("counts")
     spark = docs.sparkSession
     raw = spark.createDataFrame([(bytearray(table.to_bytes()),)], "value binary").coalesce(1)
     raw.select(F.col("value").cast("string").alias("value")).write.text(f"{path}/table")
@@ -392,32 +486,33 @@ def write_ids(
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer = PartWriter(Table.from_bytes(shared.value), TaskContext.get().partitionId())
         for batch in batches:
-            for doc_id, ids in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                for one in writer.add(doc_id, np.frombuffer(ids.as_buffer(), "<u4")):
+            for doc_id, n, ids in zip(*[batch.column(i).to_pylist() for i in (0, 1)], batch.column(2), strict=True):
+                for one in writer.add(doc_id, unpacked(ids.as_buffer(), n)):
                     yield pa.RecordBatch.from_arrays([pa.array([one], pa.binary())], names=["value"])
         for one in writer.end():
             yield pa.RecordBatch.from_arrays([pa.array([one], pa.binary())], names=["value"])
 
     placed = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    coded = placed.select("doc_id", "ids").mapInArrow(code, "value binary")
+    coded = placed.select("doc_id", "n", "ids").mapInArrow(code, "value binary")
     lines = coded.select(F.col("value").cast("string").alias("value"))
     lines.write.option("lineSep", "\n").option("maxRecordsPerFile", FRAMES_PER_FILE).text(f"{path}/ids")
 
 
+def unpacked(raw: bytes | pa.Buffer, n: int) -> np.ndarray:
+    """``n`` staged ids, of two or four bytes each."""
+    return np.frombuffer(raw, "<u4" if len(raw) == 4 * n else "<u2")
+
+
 def frequencies(rows: DataFrame) -> Table:
-    """The shared table of all ids: each task counts its own, and as many counts as there are ids come to the driver."""
+    """The shared table of all ids, from the counts of each task; as many counts as there are ids come to the driver."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            whole = b"".join(x.as_buffer().to_pybytes() for x in batch.column(0))
-            found = np.bincount(np.frombuffer(whole, "<u4"), minlength=len(total))
-            found[: len(total)] += total
-            total = found
-        ids = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], names=["id", "n"])
+            for counts in batch.column(0):
+                ids, n = np.frombuffer(counts.as_buffer(), "<i8").reshape(2, -1)
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n)], names=["id", "n"])
 
-    counts = rows.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = rows.select("counts").mapInArrow(unpack, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     return Table.of_counts({r.id: r.n for r in counts.collect()})
 
 
@@ -480,16 +575,21 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("begin", "n", "crc"))).alias("crc"),
     )
 
-    def joined(lists: list) -> list[int]:
-        found = []
-        for rows in lists:
-            crc = 0
-            for r in rows:
-                crc = crc_joined(crc, r["crc"], 4 * r["n"])
-            found.append(crc)
-        return found
+    def load():
+        join = JoinedCrc()
+
+        def joined(lists: list) -> list[int]:
+            found = []
+            for rows in lists:
+                crc = 0
+                for r in rows:
+                    crc = join(crc, r["crc"], 4 * r["n"])
+                found.append(crc)
+            return found
+
+        return joined
 
-    cut = add_columns(cut, lambda: joined, "crc", [T.StructField("crc", T.LongType())])
+    cut = add_columns(cut, load, "crc", [T.StructField("crc", T.LongType())])
     columns = ["part", "doc_id", "place", "total", "crc"]
     found = pieces.filter(whole).select(columns).union(cut.select(columns)).join(F.broadcast(base), "part")
     return found.select(

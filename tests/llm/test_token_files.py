@@ -1,11 +1,14 @@
 """Token files: exact round trips of blocks, files and documents, equal ids, and damage that is noticed."""
 
+import itertools
 import random
+import re
 import struct
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -69,8 +72,7 @@ def test_empty_table(spark, tmp_path):
 def test_ids_of_words_are_ids_of_the_text(texts):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     texts = [*texts, "".join(texts), "it's <|endoftext|> x<|startoftext|>y ΑΣ Σ", "a ̈b\ńc　d\x1ce"]
-    own = [np.frombuffer(x, "<u4").tolist() for x in token_files.WordIds()(texts)]
-    assert own == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert lists_of(texts) == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
 def test_every_code_point_and_a_small_store(monkeypatch):
@@ -79,8 +81,15 @@ def test_every_code_point_and_a_small_store(monkeypatch):
     points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
     texts = ["a ".join(points[i : i + 5000]) for i in range(0, len(points), 5000)]
     texts += ["".join(points[i : i + 3000]) for i in range(0, 30_000, 3000)]
-    own = [np.frombuffer(x, "<u4").tolist() for x in token_files.WordIds()(texts)]
-    assert own == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    texts += ["a%s b%s. %sc,, x%sy" % (c, c, c, c) for c in points[:0x3000]]
+    words = re.findall(r"[^\W\d_]+", open(token_files.__file__).read())
+    texts += [f"{a}{b}. {b}{a.upper()}, {a}é{b} É{a}.,." for a, b in itertools.pairwise(words)]
+    assert lists_of(texts) == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+def lists_of(texts):
+    ids, sizes = token_files.WordIds()(pa.array(texts, pa.string()))
+    return [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])]
 
 
 def coded(ids, counts=None):
@@ -126,4 +135,4 @@ def test_damage_is_noticed():
 
 @given(st.binary(max_size=300), st.binary(max_size=300))
 def test_joined_checksums(a, b):
-    assert token_files.crc_joined(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
+    assert token_files.JoinedCrc()(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
