@@ -6,7 +6,10 @@ has two labels, main text or not, features of the block, of its ancestors and of
 it is trained by gradient ascent on the exact likelihood of labelled pages and decoded by Viterbi.
 
 The labelled pages are made by ``labelled_pages``: layouts of many kinds with invented words, in which every block of
-the article is marked. Markup that never ends is read to the end of the page. Null or empty pages have no text.
+the article is marked. Quotes hold a value only behind an equals sign, as in HTML. Comments and the elements that HTML
+reads as raw text run to the end of the page if they are not closed; of a tag that never ends only the name goes, and a
+control that is not closed ends where a block begins. Null or empty pages have no text. A page is one value of a row, whatever its length
+and however often it occurs; columns other than the text's pass through.
 """
 
 from __future__ import annotations
@@ -27,17 +30,20 @@ from quillset.llm.common import add_columns
 # Element names of the HTML standard.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
-    "strike strong sub sup time tt u var wbr".split()
+    "strike strong sub sup time tt u var wbr math mi mn mo ms mtext mrow mfrac msup msub msqrt object noscript".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math select option button object".split())
+RAW = frozenset("script style textarea title iframe".split())
+CONTROLS = frozenset("button select optgroup option".split())
 CLOSED_BY_SAME = frozenset("p li tr td th dt dd option".split())
 
 token = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|([^<]+|<)",
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')|=)*+)>|([^<]+|<)",
     re.DOTALL,
 )
+#: Behind the last sign that ends a tag: the same groups, but a tag is no more than its name.
+after_tags = re.compile(r"<!--.*|<![^>]*|<\?[^>]*|<(/?)([a-zA-Z][^\s/>]*+)()|([^<]+|<)", re.DOTALL)
 naming = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 name_part = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 white = re.compile(r"\s+")
@@ -66,15 +72,15 @@ def leaf_blocks(html: str | None) -> list[Block]:
         parts.clear()
         linked = 0
 
-    at = 0
-    while m := token.match(html, at):
+    at, last = 0, html.rfind(">")
+    while m := (token if at < last else after_tags).match(html, at):
         at = m.end()
         if m[4] is not None:
             parts.append(m[4])
             if links:
                 linked += len(m[4].strip())
             continue
-        if m[2] is None:
+        if m[2] is None or at > last + 1:
             continue
         tag, ends = m[2].lower(), bool(m[1])
         if tag == "a":
@@ -96,12 +102,12 @@ def leaf_blocks(html: str | None) -> list[Block]:
                     links = 0
                     break
             continue
+        while path and path[-1][0] in CONTROLS and tag not in CONTROLS:
+            path.pop()
         if path and (path[-1][0] == "p" or tag in CLOSED_BY_SAME and path[-1][0] == tag):
             path.pop()
         words = {w.lower() for found in naming.findall(m[3]) for w in name_part.findall("".join(found))}
         path.append((tag, tuple(sorted(words))))
-        if at == len(html):
-            break
     close()
     return [b for b in blocks if not any(tag == "head" for tag, _ in b.path)]
 
@@ -245,7 +251,7 @@ BLOCK_NAMES = {
 }
 
 
-def labelled_pages(n: int = 600, seed: int = 17) -> list[str]:
+def labelled_pages(n: int = 900, seed: int = 17) -> list[str]:
     """Pages in which every block of the article begins with ``MARK``."""
     rng = random.Random(seed)
     syllables = [a + b for a in "bdfgklmnprstv" for b in ("a", "e", "i", "o", "u", "an", "er", "on", "is")]
@@ -270,10 +276,23 @@ def labelled_pages(n: int = 600, seed: int = 17) -> list[str]:
             body = "".join(f"<p>{text(3, 40)}</p>" for _ in range(rng.randint(1, 3)))
         else:
             body = f"<h3>{text(1, 4, '')}</h3><p>{text(4, 40)}</p>"
+        if rng.random() < 0.1:
+            body += control()
         if tag == "footer" and rng.random() < 0.6:
             body = f"&copy; {text(1, 3, '')} &middot; {body}"
         return f"{head}{body}</{tag}>"
 
+    def control() -> str:
+        kind = rng.random()
+        if kind < 0.4:
+            return f"<button class=btn>{text(1, 3, '')}</button>"
+        if kind < 0.7:
+            options = "".join(f"<option>{text(1, 3, '')}</option>" for _ in range(rng.randint(1, 4)))
+            return f"<select>{options}</select>"
+        if kind < 0.85:
+            return f"<svg><text>{text(1, 3, '')}</text></svg>"
+        return f"<template><p>{text(2, 20)}</p></template>"
+
     def link(low: int, high: int) -> str:
         return f'<a href="/x">{text(low, high, "")}</a>'
 
@@ -300,6 +319,8 @@ def labelled_pages(n: int = 600, seed: int = 17) -> list[str]:
         parts = [f"<h1>{MARK}{text(1, 12, '')}</h1>"] if rng.random() < 0.85 else []
         for _ in range(rng.randint(1, 12)):
             parts.append(inside() if rng.random() < 0.85 else outside())
+            if rng.random() < 0.06:
+                parts.append(control())
         before = "".join(outside() for _ in range(rng.randint(0, 5)))
         after = "".join(outside() for _ in range(rng.randint(0, 5)))
         pages.append(f"<html><head><title>x</title></head><body>{before}{head}{''.join(parts)}{end}{after}</body></html>")

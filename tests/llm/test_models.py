@@ -95,7 +95,11 @@ def test_forward_sums_all_segmentations():
     assert np.allclose(got, [[total("▁" + w, k) for k in (0, 1)] for w in words])
     one = chance[:, :1]
     counts = np.array([1.0, 2, 3, 1, 1, 1])
-    expected = language.Lattice.of(words, table).expected(one, counts)
+    expected, lost = language.Lattice.of(words, table).expected(one, counts)
+    assert not lost.any()
+    alone = [language.Lattice.of([w], table) for w in words]
+    assert np.allclose([x.log_forward(np.log(chance))[-1] for x in alone], np.log(got))
+    assert np.allclose(sum(n * x.log_expected(np.log(one)) for x, n in zip(alone, counts, strict=True)), expected)
     small = np.zeros_like(one)
     step = 1e-6
     for i in range(len(one)):  # the expected uses are the slope of the log chance by the log of each piece
@@ -114,6 +118,30 @@ def test_long_pieces_count():
     assert np.isclose(got[0, 0], 0.5 + 0.5**13)
 
 
+def test_long_and_improbable_words_are_summed_whole():
+    rng = np.random.default_rng(7)
+    pieces = ["▁", *"abcd", "ab", "bcd", "▁ab", "dab", "abcdabcd"]
+    words = {k: {"".join(rng.choice(list("abcd"), n)): 2 for n in (3, 60, 200)} for k in ("one", "two")}
+    model = language.learn(words, pieces)
+
+    def plain(word, k):
+        text, logs = "▁" + word, [0.0]
+        for j in range(1, len(text) + 1):
+            known = [(i, model.pieces.pieces.index(text[i:j])) for i in range(max(0, j - 8), j) if text[i:j] in pieces]
+            known += [(j - 1, len(pieces))] if text[j - 1] not in pieces else []
+            logs.append(np.logaddexp.reduce([logs[i] + np.log(model.chance[p, k]) for i, p in known]))
+        return logs[-1]
+
+    long_ = ["".join(rng.choice(list("abcd"), n)) for n in (48, 49, 120, 500, 3000)] + ["é" * 48, "abé" * 30, "ab"]
+    model.meet(set(long_))
+    for w in long_:
+        assert np.allclose(model.logs[model.known[w]], [plain(w, k) for k in (0, 1)], rtol=1e-9)
+    names, scores = model.predict([long_[3] + " " + long_[0], "é" * 48 + " 12", "12"])
+    total = np.array([plain(long_[3], k) + plain(long_[0], k) for k in (0, 1)])
+    assert names[0] == model.languages[int(total.argmax())]
+    assert np.isclose(scores[0], 1 / np.exp(total - total.max()).sum()) and names[2] == "und"
+
+
 def test_language_edges(spark):
     docs = edges(spark, "lang").withColumn("score", F.lit("text"))
     got = language.identify(docs, language.fit(docs.withColumn("lang", F.lit("de")))).collect()
@@ -144,6 +172,45 @@ def test_main_text_of_hand_made_pages():
     assert field.main_text(None) == field.main_text("") == field.main_text("<p") == ""
 
 
+def test_main_text_with_odd_markup():
+    field = html_extract.fit()
+    text = "First paragraph of the article, of some length. Second one, and it ends here."
+    body = "<p>First paragraph of the article, of some length.</p><p>Second one, and it ends here.</p>"
+    for head in (
+        "<h1 title=author's>Head</h1>",
+        '<h1 data-x="a""b" data-y=\'>\' class = "x > y">Head</h1>',
+        "<h1 title = 'it \"is\"'>Head</h1>",
+        "<h1 \" '>Head</h1>",
+        "<H1\nclass=a/b>Head</H1>",
+    ):
+        assert field.main_text(f"<body><nav><a href=/>Home</a></nav><article>{head}{body}</article></body>") == f"Head {text}"
+    for control in ("<button>Press", "<select><option>One<option>Two", "<button class=btn>Press</button>"):
+        page = f"<body><article><h1>Head</h1>{control}{body}</article></body>"
+        assert field.main_text(page) == f"Head {text}"
+    page = "<article><h1>Head</h1><p>A sum <math><mi>a</mi><mo>+</mo><mi>b</mi></math> and <object>an image</object>"
+    assert field.main_text(page + "<noscript>, drawn</noscript>.</p></article>") == "Head A sum a+b and an image, drawn."
+    assert field.main_text(f"<article><h1>Head</h1>{body}</article") == f"Head {text}"
+    assert field.main_text(f"<article><h1>Head</h1>{body}<!-- never closed <p>x</p>") == f"Head {text}"
+
+
+def test_main_text_of_long_and_broken_pages_is_quick():
+    field = html_extract.fit()
+    long_ = "<article>" + "<p>Some words of a long article.</p>" * 20_000 + "</article>"
+    assert len(field.main_text(long_)) == 20_000 * len("Some words of a long article. ") - 1
+    for broken in ("<" * 200_000, "<a " * 100_000, '<a b="' * 50_000, "<!" * 100_000, "</" * 100_000, "=\"" * 100_000):
+        field.main_text(broken)
+        field.main_text(f"<p>{broken}</p>")
+
+
+def test_main_text_of_edge_tables(spark):
+    field = html_extract.fit()
+    rows = [(1, "<article><p>Twice, and long enough to be read.</p></article>", "u", "t")] * 2 + [(None, None, None, None), (2, "", "u", None)]
+    pages = spark.createDataFrame(rows, "page_id long, html string, url string, text string")
+    got = html_extract.extract(pages, field).collect()
+    assert sorted(r.text for r in got) == ["", ""] + ["Twice, and long enough to be read."] * 2
+    assert html_extract.extract(pages.limit(0), field).collect() == []
+
+
 def test_main_text_of_whole_table(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet").collect()
     got = {r.page_id: r for r in op7_html_extract(spark, SF).collect()}
