@@ -37,11 +37,6 @@ def bounded_sample(rows: DataFrame, id_col: str, label: str, size: int) -> tuple
     return rows.filter(draw < F.element_at(shares, F.col(label))).limit(2 * size * len(counts)), counts
 
 
-def text_tag(text_col: str) -> Column:
-    """32 bits of the text: with the id it tells rows that share an id apart."""
-    return F.hash(text_col)
-
-
 def add_columns(
     df: DataFrame, load: Callable[[], Callable[[list], object]], source: str, fields: list[T.StructField]
 ) -> DataFrame:

@@ -1,15 +1,15 @@
 """Main text of web pages by a linear-chain conditional random field over DOM leaf blocks.
 
 A page becomes its leaf blocks in order: runs of text between tags that start or end a block, each with the tags and
-class words of its ancestors. Scripts, styles, templates, comments, the head and form controls give no blocks. The field
-has two labels, main text or not, features of the block, of its ancestors and of its text, and weights for neighbours;
+class words of its ancestors. Scripts, styles, comments, text areas and the head give no blocks; buttons, lists to choose
+from, templates and drawings are blocks that the field learns to leave out. The field has two labels, main text or not, features of the block, of its ancestors and of its text, and weights for neighbours;
 it is trained by gradient ascent on the exact likelihood of labelled pages and decoded by Viterbi.
 
 The labelled pages are made by ``labelled_pages``: layouts of many kinds with invented words, in which every block of
 the article is marked. Quotes hold a value only behind an equals sign, as in HTML. Comments and the elements that HTML
-reads as raw text run to the end of the page if they are not closed; of a tag that never ends only the name goes, and a
-control that is not closed ends where a block begins. Null or empty pages have no text. A page is one value of a row, whatever its length
-and however often it occurs; columns other than the text's pass through.
+reads as raw text run to the end of the page if they are not closed; of a tag that never ends only the name goes, and
+a control that is not closed ends where a block begins. Null or empty pages have no text. A page is one value of a
+row, whatever its length and however often it occurs; columns other than the text's pass through.
 """
 
 from __future__ import annotations

@@ -96,8 +96,8 @@ def vectors(docs: DataFrame, id_col: str, text_col: str, vocabulary: list[bytes]
                 both = np.array(mine, "<i8").reshape(-1, 2)
                 terms.append(both[:, 0].astype("<i4").tobytes())
                 counts.append(both[:, 1].astype("<i4").tobytes())
-            columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(terms, pa.binary()), pa.array(counts, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "terms", "counts"])
+            columns = [pa.array(sizes, pa.int64()), pa.array(terms, pa.binary()), pa.array(counts, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "n", "terms", "counts"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     found = rows.mapInArrow(count, "doc_id long, n long, terms binary, counts binary")

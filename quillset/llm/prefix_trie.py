@@ -154,7 +154,8 @@ def cut_names(pieces: DataFrame, depth: int) -> DataFrame:
     """
     binary = [T.StructField("half", T.BinaryType())]
     whole = pieces.filter(F.size("turns") == LEAF)
-    whole = whole.select("conv_id", (F.col("piece") + 1).alias("cut"), F.expr("transform(turns, t -> t.digest)").alias("half"))
+    digests = F.transform("turns", lambda t: t.digest).alias("half")
+    whole = whole.select("conv_id", (F.col("piece") + 1).alias("cut"), digests)
     levels = [stage(add_columns(whole, lambda: lambda rows: [digest_inside(t) for t in rows], "half", binary), "halves")]
     while LEAF << len(levels) <= depth:
         pair = F.ceil(F.col("cut") / 2).cast("long")

@@ -64,7 +64,8 @@ PLAIN, MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 #: Layouts; heads of frames are two of them in a row.
 HEAD, FRAME, TABLE = "<4sI", "<7I2q", "<4s3I"
-HEAD_SIZE, HEADS_SIZE, TABLE_SIZE = struct.calcsize(HEAD), struct.calcsize(HEAD) + struct.calcsize(FRAME), struct.calcsize(TABLE)
+HEAD_SIZE, TABLE_SIZE = struct.calcsize(HEAD), struct.calcsize(TABLE)
+HEADS_SIZE = HEAD_SIZE + struct.calcsize(FRAME)
 
 #: A column of texts to the ids of all of them in a row, and how many each has.
 Encoder = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
@@ -541,7 +542,8 @@ def read_pieces(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
         arrays = [pa.array(np.asarray(x, np.int64)) for x in columns]
         arrays[2] = pa.array(np.asarray(doc_id, np.int64), mask=null.astype(bool))
         if with_ids:
-            arrays.append(pa.ListArray.from_arrays(pa.array(np.append(start, n).astype(np.int32)), pa.array(ids.astype(np.int32))))
+            ends = pa.array(np.append(start, n).astype(np.int32))
+            arrays.append(pa.ListArray.from_arrays(ends, pa.array(ids.astype(np.int32))))
         return pa.RecordBatch.from_arrays(arrays, names=[*names, *["ids"] * with_ids])
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
