@@ -146,8 +146,12 @@ def token_lengths(
         raise ValueError(f"missing {absent}: label the papers first")
     tokens = word_tokens if tokenizer is None else tokenizer_column(tokenizer)
     sides = [("input", input_column, max_input), ("target", target_column, max_target)]
+
+    def length(column: str) -> Column:
+        return F.size(tokens(F.coalesce(F.col(column), F.lit(""))))
+
     sizes = [
-        F.struct(F.lit(side).alias("side"), F.size(tokens(F.coalesce(F.col(c), F.lit("")))).alias("length"), F.lit(most).alias("most"))
+        F.struct(F.lit(side).alias("side"), length(c).alias("length"), F.lit(most).alias("most"))
         for side, c, most in sides
     ]
     rows = labelled.select(F.col(by), F.inline(F.array(*sizes)))

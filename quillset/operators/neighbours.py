@@ -133,7 +133,9 @@ def merged(k: int) -> Column:
     return F.slice(F.sort_array(F.flatten(F.collect_list("best"))), 1, k).alias("best")
 
 
-def search(index: Index, queries: DataFrame, id_col: str, vector_col: str, k: int = 10, probes: int | None = None) -> DataFrame:
+def search(
+    index: Index, queries: DataFrame, id_col: str, vector_col: str, k: int = 10, probes: int | None = None
+) -> DataFrame:
     """(query_id, rank, id, similarity): the ``k`` nearest rows of each query in its ``probes`` nearest cells.
 
     With as many probes as cells the result is exact. A query row is a query of its own. Rows and queries of a cell are
@@ -199,7 +201,8 @@ def met(batches: Iterator[pa.RecordBatch], k: int, width: int) -> Iterator[pa.Re
             elif rows:
                 ids, rows = [np.concatenate(ids)], [np.concatenate(rows)]
                 near = np.round(vectors @ rows[0].T, DECIMALS)
-                best = pa.array([best_of(x, ids[0], k) for x in near], pa.list_(pa.struct([("far", pa.float64()), ("id", pa.int64())])))
+                kind = pa.list_(pa.struct([("far", pa.float64()), ("id", pa.int64())]))
+                best = pa.array([best_of(x, ids[0], k) for x in near], kind)
                 where = [pa.array(np.full(len(near), x, np.int32)) for x in key[:2]]
                 yield pa.RecordBatch.from_arrays([part.column(4), part.column(5), *where, best], names=names)
             at = end
@@ -216,12 +219,13 @@ START_ROWS, START_CELLS = 128, 4
 def neighbour_graph(rows: DataFrame, id_col: str, vector_col: str, k: int = 10) -> DataFrame:
     """(id, rank, neighbour_id, similarity): the ``k`` nearest other rows of each row, by local joins of neighbours.
 
-    First the rows of a cell meet in blocks, each row in its ``START_CELLS`` nearest cells. In each round every row brings its neighbours together, those it names and
-    those that name it, as far as one of a pair is new to it: a row's neighbours are likely to be neighbours. Of those that
-    name a row, at most ``MEETING`` new and as many known ones come, the nearest first, so a round emits a bounded number of
-    pairs for each row and a hub does not grow; only pairs that beat the worst neighbour kept so far are emitted. It ends when a round changes
-    less than ``LEAST_CHANGE`` of the lists, or after ``GRAPH_ROUNDS``. The result is approximate; the tests measure its
-    recall. The rows' ids must be unique; rows without id are left out.
+    First the rows of a cell meet in blocks, each row in its ``START_CELLS`` nearest cells. In each round every row
+    brings its neighbours together, those it names and those that name it, as far as one of a pair is new to it: a row's
+    neighbours are likely to be neighbours. Of those that name a row, at most ``MEETING`` new and as many known ones
+    come, the nearest first, so a round emits a bounded number of pairs for each row and a hub does not grow; only pairs
+    that beat the worst neighbour kept so far are emitted. It ends when a round changes less than ``LEAST_CHANGE`` of
+    the lists, or after ``GRAPH_ROUNDS``. The result is approximate; the tests measure its recall. The rows' ids must be
+    unique; rows without id are left out.
     """
     index = build_index(rows.filter(F.col(id_col).isNotNull()), id_col, vector_col, k)
     vectors, kept = index.rows.select("id", "vector"), GRAPH_FACTOR * k
@@ -229,7 +233,8 @@ def neighbour_graph(rows: DataFrame, id_col: str, vector_col: str, k: int = 10)
     total = max(vectors.count(), 1)
     start = stage(in_nearest_cells(index.rows.select("row", "id", "vector"), index.centres, START_CELLS), "start")
     sizes = start.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / START_ROWS).cast("int").alias("blocks"))
-    dealt = start.join(F.broadcast(sizes), "cell").withColumn("block", F.pmod(F.xxhash64("id", "cell"), "blocks").cast("int"))
+    block = F.pmod(F.xxhash64("id", "cell"), "blocks").cast("int")  # halves that differ from cell to cell
+    dealt = start.join(F.broadcast(sizes), "cell").withColumn("block", block)
     dealt = dealt.repartition("cell", "block").sortWithinPartitions("cell", "block", "id")
     first = dealt.select("cell", "block", "id", "vector").mapInArrow(
         lambda batches: local_join(batches, kept, width), "id long, near long, far double"

@@ -131,7 +131,8 @@ def rouge_scores(
             alone.alias("pairs"),
         )
         unique = (F.col("pairs") == 1) & F.col(key).isNotNull()
-        said = F.concat(F.lit("no score for a key that is null or repeated: "), F.coalesce(F.col(key).cast("string"), F.lit("null")))
+        shown = F.coalesce(F.col(key).cast("string"), F.lit("null"))
+        said = F.concat(F.lit("no score for a key that is null or repeated: "), shown)
         spread = spread.withColumn("overlap", F.when(unique, F.col("overlap")).otherwise(F.raise_error(said).cast("bigint")))
     scores = _scores(F.col("overlap"), F.col("predicted"), F.col("expected"))
     return spread.select(key, "metric", *scores)
