@@ -175,3 +175,17 @@ def test_repeated_and_null_keys_are_refused(spark, rows):
     for metrics in (("rouge1",), ("rouge2", "rougeL")):
         with pytest.raises(Exception, match="null or repeated"):
             rouge_scores(pairs, metrics).collect()
+
+
+def test_ngrams_never_become_rows(spark):
+    # The first text shares more n-grams than are looked up one by one.
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(300)]
+    rows = [(i, *[" ".join(rng.choices(words, k=n)) for _ in range(2)]) for i, n in enumerate((2000, 600, 40, 3, 1, 0))]
+    rows += [(10, "a " * 700, "a " * 300 + "b"), (11, " ".join(words * 3), " ".join(words[::-1] * 2 + words))]
+    pairs = spark.createDataFrame(rows, "id long, prediction string, reference string")
+    scores = rouge_scores(pairs, ("rouge1", "rouge2"), stemmed=False)
+    plan = scores._jdf.queryExecution().executedPlan().toString()
+    assert not any("metric" in line for line in plan.split("\n") if "Aggregate" in line)
+    found = {(r.id, r.metric): (round(r.precision, 9), round(r.recall, 9), round(r.f1, 9)) for r in scores.collect()}
+    assert found == {(i, m): brute_scores(p, r, m) for i, p, r in rows for m in ("rouge1", "rouge2")}
