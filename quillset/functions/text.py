@@ -98,28 +98,37 @@ def bound(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def _repeat_in(words: Column, n: int) -> Column:
-    """The first place at which ``n`` words begin that also begin earlier in the array."""
+    """The first place at which ``n`` words begin that also begin earlier in the array.
+
+    Only runs of which some are equal are sorted. ``words`` is named for every place, so it has to be a bound value.
+    """
     places = F.sequence(F.lit(1), F.size(words) - (n - 1))
-    grams = F.transform(places, lambda i: F.struct(F.array_join(F.slice(words, i, n), " ").alias("gram"), i.alias("at")))
-    later = bound(
-        F.sort_array(grams),
-        lambda g: F.array_min(
-            F.zip_with(F.slice(g, F.lit(2), F.size(g)), g, lambda a, b: F.when(a.gram == b.gram, a.at))
-        ),
-    )
-    return F.when(F.size(words) > n, later)
+    grams = F.transform(places, lambda i: F.array_join(F.slice(words, i, n), " "))
+
+    def later(runs: Column) -> Column:
+        placed = F.transform(runs, lambda gram, i: F.struct(gram.alias("gram"), (i + 1).alias("at")))
+        return bound(
+            F.sort_array(placed),
+            lambda g: F.array_min(
+                F.zip_with(F.slice(g, F.lit(2), F.size(g)), g, lambda a, b: F.when(a.gram == b.gram, a.at))
+            ),
+        )
+
+    repeated = bound(grams, lambda runs: F.when(F.size(F.array_distinct(runs)) < F.size(runs), later(runs)))
+    return F.when(F.size(words) > n, repeated)
 
 
 def first_repeat(text: Column, n: int = REPEATED_WORDS) -> Column:
     """The word (from 1) at which the first repeated run of ``n`` words begins again; null if none does.
 
     Words are those of ``word_count``, in lower case. The beginning of a text is looked at first, so a text that soon
-    repeats itself ends early; otherwise its runs are sorted once.
+    repeats itself ends early; otherwise all its runs are, once.
     """
     words = F.regexp_extract_all(F.lower(text), F.lit(WORD_CHARACTER + "+"), F.lit(0))
 
     def found(w: Column) -> Column:
-        early = [F.when(F.size(w) > size, _repeat_in(F.slice(w, 1, size), n)) for size in REPEAT_LOOKS]
+        # The beginning is cut off once, not for every place in it.
+        early = [F.when(F.size(w) > size, bound(F.slice(w, 1, size), lambda b: _repeat_in(b, n))) for size in REPEAT_LOOKS]
         return F.coalesce(*early, _repeat_in(w, n))
 
     return bound(words, found)

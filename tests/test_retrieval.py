@@ -77,3 +77,10 @@ def test_repeats_count_only_if_asked(spark):
     rows = spark.createDataFrame([(text,), ("each word of this summary is another one so nothing repeats",)], "s string")
     plain, strict = is_valid_summary(F.col("s")), is_valid_summary(F.col("s"), no_repeat=3)
     assert [tuple(r) for r in rows.select(plain, strict).collect()] == [(True, False), (True, True)]
+
+
+def test_a_beginning_is_cut_off_once(spark):
+    """Not once for each of its words, which takes the square of its length."""
+    rows = spark.range(1).select(first_repeat(F.col("id").cast("string")).alias("at"))
+    plan = rows._jdf.queryExecution().analyzed().toString()
+    assert "slice(slice(" not in plan and "array_distinct" in plan
