@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +29,10 @@ PredictorFactory = Callable[[], Predict]
 
 BATCH_SIZE = 4
 
+# Bytes of texts that a worker holds as Python texts at once; a batch of Arrow may be longer.
+HELD_BYTES = 1 << 20
+ANSWERS = pa.struct([("texts", pa.list_(pa.string())), ("errors", pa.list_(pa.string()))])
+
 
 def _predict_batch(predict: Predict, texts: list[str]) -> list[tuple[str | None, str | None]]:
     """(text, error) per input. When a batch fails, its rows are retried alone so that only bad ones fail."""
@@ -41,25 +47,46 @@ def _predict_batch(predict: Predict, texts: list[str]) -> list[tuple[str | None,
         return [_predict_batch(predict, [text])[0] for text in texts]
 
 
+def _rows_at_once(rows: pa.Array) -> int:
+    """How many of the first rows become Python texts at once: about ``HELD_BYTES``, one at least."""
+    flat = rows.flatten()
+    if not len(flat):
+        return len(rows)
+    ends = np.cumsum(pc.fill_null(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    texts = int(np.searchsorted(ends, HELD_BYTES, side="right"))
+    held = np.cumsum(pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    return max(1, int(np.searchsorted(held, texts, side="right")))
+
+
+def _predicted(predict: Predict, rows: list[list[str | None]], batch_size: int) -> pa.Array:
+    """What the model says to some rows of texts, and what it raised."""
+    texts = [text for row in rows for text in row]
+    outputs: list[tuple[str | None, str | None]] = [(None, None)] * len(texts)
+    wanted = [i for i, text in enumerate(texts) if text is not None]
+    for start in range(0, len(wanted), batch_size):
+        chunk = wanted[start : start + batch_size]
+        for i, output in zip(chunk, _predict_batch(predict, [texts[i] for i in chunk])):
+            outputs[i] = output
+    remaining = iter(outputs)
+    answers = [[next(remaining) for _ in row] for row in rows]
+    return pa.array(
+        [{"texts": [text for text, _ in row], "errors": [error for _, error in row]} for row in answers], ANSWERS
+    )
+
+
 def predictor_column(factory: PredictorFactory, batch_size: int = BATCH_SIZE) -> Callable[[Column], Column]:
     """A column function running the model over arrays of texts in Arrow batches; nulls are not sent to it."""
 
-    @F.pandas_udf("texts array<string>, errors array<string>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("texts array<string>, errors array<string>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         predict = factory()
         for batch in batches:
-            texts = [text for row in batch for text in row]
-            outputs: list[tuple[str | None, str | None]] = [(None, None)] * len(texts)
-            wanted = [i for i, text in enumerate(texts) if text is not None]
-            for start in range(0, len(wanted), batch_size):
-                chunk = wanted[start : start + batch_size]
-                for i, output in zip(chunk, _predict_batch(predict, [texts[i] for i in chunk])):
-                    outputs[i] = output
-            remaining = iter(outputs)
-            rows = [[next(remaining) for _ in row] for row in batch]
-            texts_of = [[text for text, _ in row] for row in rows]
-            errors_of = [[error for _, error in row] for row in rows]
-            yield pd.DataFrame({"texts": texts_of, "errors": errors_of})
+            done = []
+            while len(batch):
+                size = _rows_at_once(batch)
+                done.append(_predicted(predict, batch.slice(0, size).to_pylist(), batch_size))
+                batch = batch.slice(size)
+            yield pa.concat_arrays(done) if done else pa.array([], ANSWERS)
 
     # Marked nondeterministic so that no optimisation runs the model twice on a row.
     return run.asNondeterministic()

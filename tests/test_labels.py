@@ -1,10 +1,13 @@
 import os
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from quillset.operators.examples import training_examples
 from quillset.operators.labels import (
+    HELD_BYTES,
+    _rows_at_once,
     attach_labels,
     fill_fallback,
     filter_labelled,
@@ -130,3 +133,13 @@ def test_filters_do_not_run_the_model_again(spark, tmp_path):
     kept = filter_labelled(labelled_papers).where(F.col("methods").isNotNull())
     assert kept.count() == 1
     assert len((tmp_path / "seen").read_text().splitlines()) == 2
+
+
+def test_few_texts_of_a_batch_are_held_at_once():
+    rows = pa.array([["a" * (HELD_BYTES // 3), None]] * 7 + [[None], [], ["b" * (2 * HELD_BYTES)], None, ["c"]])
+    sizes = []
+    while len(rows):
+        sizes.append(_rows_at_once(rows))
+        rows = rows.slice(sizes[-1])
+    assert sizes == [3, 3, 3, 1, 2]
+    assert _rows_at_once(pa.array([[None], []], pa.list_(pa.string()))) == 2
