@@ -23,6 +23,8 @@ SAMPLE_ROWS = 20_000
 MOST_CELLS, FIT_ROUNDS = 4096, 12
 #: Rows and queries of a block; a block of each meet in a task, whatever the size of a cell.
 BLOCK_ROWS, BLOCK_QUERIES = 4096, 1024
+#: Similarities of rows and centres that a task holds at once, and copies of rows that it sends on at once.
+PLACE_CELLS, PLACE_ROWS = 1 << 19, 4096
 #: Lists of one query that are merged at once.
 FAN = 64
 #: The share of the true neighbours of sampled rows that the probed cells must hold.
@@ -103,19 +105,32 @@ def probes_for(sample: np.ndarray, centres: np.ndarray, k: int) -> int:
     return int(needed[min(len(needed) - 1, int(LEAST_RECALL * len(needed)))]) + 1
 
 
-def in_nearest_cells(vectors: DataFrame, centres: np.ndarray, cells: int) -> DataFrame:
-    """Each row once for each of its nearest cells: (row, id, vector, cell)."""
-    shared, names = vectors.sparkSession.sparkContext.broadcast(centres), ["row", "id", "vector", "cell"]
-    cells = min(cells, len(centres))
+def nearest_cells(near: np.ndarray, cells: int) -> np.ndarray:
+    """The places of the greatest of each row, in descending order, equal ones by place."""
+    if cells == 1:
+        return near.argmax(1).astype(np.int32)[:, None]
+    return np.argsort(-near, axis=1, kind="stable")[:, :cells].astype(np.int32)
+
 
-    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            near = matrix(batch.column(2), shared.value.shape[1]) @ shared.value.T
-            found = np.argsort(-near, axis=1, kind="stable")[:, :cells].astype(np.int32)
-            rows = pa.array(np.repeat(np.arange(batch.num_rows), cells))
-            yield pa.RecordBatch.from_arrays([*[c.take(rows) for c in batch.columns], pa.array(found.ravel())], names=names)
+def placed(batches: Iterator[pa.RecordBatch], centres: np.ndarray, cells: int) -> Iterator[pa.RecordBatch]:
+    """Rows (row, id, vector) with each of their nearest cells; few rows at once are compared with the centres."""
+    names, width = ["row", "id", "vector", "cell"], centres.shape[1]
+    step = max(1, min(1024, PLACE_CELLS // len(centres)))
+    some = max(1, PLACE_ROWS // step)
+    for whole in batches:
+        for start in range(0, whole.num_rows, step):
+            batch = whole.slice(start, step)
+            found = nearest_cells(matrix(batch.column(2), width) @ centres.T, cells)
+            for first in range(0, cells, some):
+                part = found[:, first : first + some]
+                rows = pa.array(np.repeat(np.arange(batch.num_rows), part.shape[1]))
+                yield pa.RecordBatch.from_arrays([*[c.take(rows) for c in batch.columns], pa.array(part.ravel())], names=names)
 
-    return vectors.mapInArrow(placed, PLACED + ", cell int")
+
+def in_nearest_cells(vectors: DataFrame, centres: np.ndarray, cells: int) -> DataFrame:
+    """Each row once for each of its nearest cells: (row, id, vector, cell)."""
+    shared, cells = vectors.sparkSession.sparkContext.broadcast(centres), min(cells, len(centres))
+    return vectors.mapInArrow(lambda batches: placed(batches, shared.value, cells), PLACED + ", cell int")
 
 
 def best_of(near: np.ndarray, ids: np.ndarray, k: int) -> list[dict]:

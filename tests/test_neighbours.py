@@ -1,7 +1,10 @@
 """Search and recommendation against comparisons with all rows."""
 
+import tracemalloc
+
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from quillset.operators import neighbours
@@ -116,3 +119,21 @@ def test_no_cross_join(spark):
     found = neighbours.search(index, frame, "vec_id", "embedding")
     plan = found._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_many_cells_and_rows_take_little_memory():
+    rng = np.random.default_rng(9)
+    vectors, centres = rng.normal(size=(10_000, 4)), rng.normal(size=(4096, 4))
+    kind = pa.list_(pa.float64())
+    ids = pa.array(np.arange(len(vectors)))
+    batch = pa.RecordBatch.from_arrays([ids, ids, pa.array(vectors.tolist(), kind)], names=["row", "id", "vector"])
+    for cells in (1, 3):
+        tracemalloc.start()
+        parts = list(neighbours.placed(iter([batch]), centres, cells))
+        assert tracemalloc.get_traced_memory()[1] < 60e6
+        tracemalloc.stop()
+        found = pa.Table.from_batches(parts)
+        near = np.argsort(-(vectors @ centres.T), axis=1, kind="stable")[:, :cells]
+        assert sorted(zip(found["row"].to_pylist(), found["cell"].to_pylist())) == sorted(
+            (i, int(c)) for i, some in enumerate(near) for c in some
+        )
