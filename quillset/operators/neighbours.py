@@ -228,7 +228,15 @@ GRAPH_FACTOR, MEETING = 3, 24
 GRAPH_ROUNDS, LEAST_CHANGE = 10, 0.002
 #: Rows of a block in which rows meet before the first round, and in how many cells each row does. Cells that share rows
 #: keep the graph from falling apart.
-START_ROWS, START_CELLS = 128, 4
+START_ROWS, START_CELLS = 1024, 32
+#: Of a row's neighbours in one such block, so many for each one that is asked for are sent on.
+START_FACTOR = 1
+#: Rounding two unit vectors to 16 bits changes their product by less than a quarter of this, sums of products included.
+HALF_MARGIN = 2.0**-8
+#: Lists that are sent on at once.
+SENT_LISTS = 4096
+
+LISTS = "id long, near array<long>, far array<float>"
 
 
 def neighbour_graph(rows: DataFrame, id_col: str, vector_col: str, k: int = 10) -> DataFrame:
@@ -238,56 +246,95 @@ def neighbour_graph(rows: DataFrame, id_col: str, vector_col: str, k: int = 10)
     brings its neighbours together, those it names and those that name it, as far as one of a pair is new to it: a row's
     neighbours are likely to be neighbours. Of those that name a row, at most ``MEETING`` new and as many known ones
     come, the nearest first, so a round emits a bounded number of pairs for each row and a hub does not grow; only pairs
-    that beat the worst neighbour kept so far are emitted. It ends when a round changes less than ``LEAST_CHANGE`` of
-    the lists, or after ``GRAPH_ROUNDS``. The result is approximate; the tests measure its recall. The rows' ids must be
-    unique; rows without id are left out.
+    that beat the worst neighbour kept so far are emitted, and nobody comes to a row without a new one. It ends when a
+    round changes less than ``LEAST_CHANGE`` of the lists, or after ``GRAPH_ROUNDS``.
+
+    Rows meet as numbers of 16 bits, and lists of neighbours are dealt out whole, by id. Of the ``GRAPH_FACTOR`` times
+    ``k`` neighbours that are left of each row, all that can be among the ``k`` nearest (``HALF_MARGIN``) are compared
+    once more in double precision, which gives order and similarity.
+    The result is approximate; the tests measure its recall. The rows' ids must be unique; rows without id are left out.
     """
     index = build_index(rows.filter(F.col(id_col).isNotNull()), id_col, vector_col, k)
     vectors, kept = index.rows.select("id", "vector"), GRAPH_FACTOR * k
     width = index.centres.shape[1]
     total = max(vectors.count(), 1)
-    start = stage(in_nearest_cells(index.rows.select("row", "id", "vector"), index.centres, START_CELLS), "start")
+    centres = rows.sparkSession.sparkContext.broadcast(index.centres)
+    halves = vectors.mapInArrow(lambda batches: halved(batches, centres.value), "id long, half binary, cells array<int>")
+    halves = stage(halves, "halves")
+    start = halves.select("id", "half", F.explode("cells").alias("cell"))
     sizes = start.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / START_ROWS).cast("int").alias("blocks"))
     block = F.pmod(F.xxhash64("id", "cell"), "blocks").cast("int")  # halves that differ from cell to cell
     dealt = start.join(F.broadcast(sizes), "cell").withColumn("block", block)
     dealt = dealt.repartition("cell", "block").sortWithinPartitions("cell", "block", "id")
-    first = dealt.select("cell", "block", "id", "vector").mapInArrow(
-        lambda batches: local_join(batches, kept, width), "id long, near long, far double"
+    first = dealt.select("cell", "block", "id", "half").mapInArrow(
+        lambda batches: local_join(batches, START_FACTOR * k, width), LISTS
     )
     graph = nearest(first.withColumn("fresh", F.lit(True)), kept)
     for _ in range(GRAPH_ROUNDS):
         graph = stage(graph, "neighbours")
-        if graph.filter("fresh").count() < LEAST_CHANGE * kept * total:
+        fresh = graph.agg(F.sum(F.size(F.filter("fresh", lambda x: x)))).first()[0] or 0
+        if fresh < LEAST_CHANGE * kept * total:
             break
-        worst = graph.groupBy("id").agg(F.when(F.count(F.lit(1)) >= kept, F.max("far")).alias("worst"))
-        graph = nearest(graph.withColumn("fresh", F.lit(False)).union(candidates(graph, vectors, worst, width)), kept)
-    ahead = Window.partitionBy("id").orderBy("far", "near")
-    ranked = graph.withColumn("rank", F.row_number().over(ahead)).filter(F.col("rank") <= k)
-    return ranked.select("id", "rank", F.col("near").alias("neighbour_id"), (-F.col("far")).alias("similarity"))
+        known = graph.select("id", "near", "far", F.lit(False).alias("fresh"))
+        graph = nearest(known.union(candidates(graph, halves, kept, width)), kept)
+    return compared(stage(graph, "neighbours"), vectors, k, width)
+
+
+def halved(batches: Iterator[pa.RecordBatch], centres: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Unit vectors as numbers of 16 bits, with their nearest cells."""
+    step, names = max(1, min(1024, PLACE_CELLS // len(centres))), ["id", "half", "cells"]
+    for whole in batches:
+        for start in range(0, whole.num_rows, step):
+            batch = whole.slice(start, step)
+            vectors = matrix(batch.column(1), centres.shape[1])
+            cells = nearest_cells(vectors @ centres.T, min(START_CELLS, len(centres)))
+            half = pa.array([x.tobytes() for x in vectors.astype("<f2")], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), half, pa.array(list(cells), pa.list_(pa.int32()))], names=names)
+
+
+def unhalved(halves: pa.Array, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(halves.to_pylist()), "<f2").reshape(-1, width).astype(np.float32)
 
 
-def nearest(pairs: DataFrame, k: int) -> DataFrame:
-    """The ``k`` nearest of each row, each once; a pair that was known before is not fresh.
+def nearest(lists: DataFrame, k: int) -> DataFrame:
+    """(id, near, far, fresh): the ``k`` nearest of each row, each once; a neighbour that was known before is not fresh.
 
-    Spark limits each task's rows of a key to ``k`` before they are shuffled.
+    The lists of a row are shuffled once, and grouping and ranking take place where they arrive.
     """
+    pairs = lists.repartition("id").select("id", "fresh", F.inline(F.arrays_zip("near", "far")))
     once = pairs.groupBy("id", "near").agg(F.min("far").alias("far"), F.min("fresh").alias("fresh"))
     ahead = Window.partitionBy("id").orderBy("far", "near")
-    return once.withColumn("rank", F.row_number().over(ahead)).filter(F.col("rank") <= k).drop("rank")
+    best = once.withColumn("rank", F.row_number().over(ahead)).filter(F.col("rank") <= k)
+    best = best.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("far", "near", "fresh"))).alias("best"))
+    return best.select("id", *[F.col(f"best.{c}").alias(c) for c in ("near", "far", "fresh")])
 
 
-def candidates(graph: DataFrame, vectors: DataFrame, worst: DataFrame, width: int) -> DataFrame:
-    """(id, near, far, fresh) of the pairs that meet at a common neighbour and beat the worst of one of them."""
-    named = graph.select(F.col("id").alias("at"), F.col("near").alias("id"), "fresh")
+def candidates(graph: DataFrame, halves: DataFrame, kept: int, width: int) -> DataFrame:
+    """(id, near, far, fresh): what rows find that meet at a common neighbour, as far as it beats their worst."""
+    edges = graph.select("id", F.inline(F.arrays_zip("near", "far", "fresh")))
+    named = edges.select(F.col("id").alias("at"), F.col("near").alias("id"), "fresh")
     ahead = Window.partitionBy("at", "fresh").orderBy("far", F.xxhash64("id"))
-    naming = graph.select(F.col("near").alias("at"), "id", "far", "fresh")
+    naming = edges.select(F.col("near").alias("at"), "id", "far", "fresh")
     naming = naming.withColumn("rank", F.row_number().over(ahead)).filter(F.col("rank") <= MEETING)
-    both = named.union(naming.select("at", "id", "fresh")).groupBy("at", "id").agg(F.max("fresh").alias("fresh"))
-    known = vectors.select("id", "vector").join(worst, "id", "left")
-    members = both.select("at", "id", "fresh").join(known, "id")
-    dealt = members.repartition("at").sortWithinPartitions("at", "id").select("at", "id", "fresh", "worst", "vector")
-    pairs = dealt.mapInArrow(lambda batches: meetings(batches, width), "id long, near long, far double")
-    return pairs.withColumn("fresh", F.lit(True))
+    both = named.union(naming.select("at", "id", "fresh")).repartition("at")
+    both = both.groupBy("at", "id").agg(F.max("fresh").alias("fresh"))
+    both = both.withColumn("busy", F.max("fresh").over(Window.partitionBy("at"))).filter("busy").drop("busy")
+    worst = graph.select("id", F.when(F.size("near") >= kept, F.array_max("far")).alias("worst"))
+    members = both.join(halves.select("id", "half").join(worst, "id", "left"), "id")
+    dealt = members.repartition("at").sortWithinPartitions("at", "id").select("at", "id", "fresh", "worst", "half")
+    return dealt.mapInArrow(lambda batches: meetings(batches, width), LISTS).withColumn("fresh", F.lit(True))
+
+
+def compared(graph: DataFrame, vectors: DataFrame, k: int, width: int) -> DataFrame:
+    """(id, rank, neighbour_id, similarity): the ``k`` best neighbours of each row, compared in double precision."""
+    least = F.coalesce(F.get("far", F.lit(k - 1)), F.lit(float("inf"))) + HALF_MARGIN
+    some = F.slice("near", F.lit(1), F.size(F.filter("far", lambda x: x <= least)))  # the nearest come first
+    edges = graph.select(F.col("id").alias("at"), F.lit(False).alias("own"), F.explode(some).alias("id"))
+    both = edges.union(graph.select("id", F.lit(True), "id")).join(vectors, "id")
+    dealt = both.repartition("at").sortWithinPartitions("at").select("at", "own", "id", "vector")
+    return dealt.mapInArrow(
+        lambda batches: best_neighbours(batches, k, width), "id long, rank int, neighbour_id long, similarity double"
+    )
 
 
 def groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordBatch]:
@@ -313,32 +360,81 @@ def groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordBa
         yield pa.concat_batches(held)
 
 
+def as_lists(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """Some (ids, sizes of their lists, neighbours one after the other, how far) as rows."""
+    ids, sizes, near, far = [np.concatenate(x) for x in zip(*parts)]
+    ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+    lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (near, far)]
+    return pa.RecordBatch.from_arrays([pa.array(ids), *lists], names=["id", "near", "far"])
+
+
+def gathered(parts: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    """About ``SENT_LISTS`` lists in a batch."""
+    held, rows = [], 0
+    for part in parts:
+        held.append(part)
+        rows += len(part[0])
+        if rows >= SENT_LISTS:
+            yield as_lists(held)
+            held, rows = [], 0
+    if held:
+        yield as_lists(held)
+
+
 def local_join(batches: Iterator[pa.RecordBatch], k: int, width: int) -> Iterator[pa.RecordBatch]:
     """The ``k`` nearest others of each row of a block."""
-    for block in groups(batches, 2):
-        ids, vectors = block.column(2).to_numpy(zero_copy_only=False), matrix(block.column(3), width)
-        near = np.round(vectors @ vectors.T, DECIMALS)
-        np.fill_diagonal(near, -np.inf)
-        size = min(k, len(ids) - 1)
-        if not size:
-            continue
-        most = np.argpartition(-near, size - 1, axis=1)[:, :size]
-        far = -np.take_along_axis(near, most, axis=1)
-        columns = [pa.array(np.repeat(ids, size)), pa.array(ids[most].ravel()), pa.array(far.ravel())]
-        yield pa.RecordBatch.from_arrays(columns, names=["id", "near", "far"])
+
+    def parts():
+        for block in groups(batches, 2):
+            ids, vectors = block.column(2).to_numpy(zero_copy_only=False), unhalved(block.column(3), width)
+            far = -(vectors @ vectors.T)
+            np.fill_diagonal(far, np.inf)
+            size = min(k, len(ids) - 1)
+            if size:
+                most = np.argpartition(far, size - 1, axis=1)[:, :size]
+                yield ids, np.full(len(ids), size), ids[most].ravel(), np.take_along_axis(far, most, axis=1).ravel()
+
+    return gathered(parts())
 
 
 def meetings(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     """The pairs of rows that meet, one of them fresh, as far as they beat the worst neighbour of the first."""
+
+    def parts():
+        for block in groups(batches, 1):
+            ids, fresh = [block.column(i).to_numpy(zero_copy_only=False) for i in (1, 2)]
+            worst = block.column(3).to_numpy(zero_copy_only=False).astype(np.float32)
+            vectors = unhalved(block.column(4), width)
+            far = -(vectors @ vectors.T)
+            fresh = fresh.astype(bool)
+            some = (far < np.where(np.isnan(worst), np.float32(np.inf), worst)[:, None]) & (fresh[:, None] | fresh[None])
+            np.fill_diagonal(some, False)
+            sizes = some.sum(axis=1)
+            if sizes.any():
+                a, b = np.nonzero(some)
+                yield ids[sizes > 0], sizes[sizes > 0], ids[b], far[a, b]
+
+    return gathered(parts())
+
+
+def best_neighbours(batches: Iterator[pa.RecordBatch], k: int, width: int) -> Iterator[pa.RecordBatch]:
+    """The best of each row's neighbours. Rows that share an id are one, and its own neighbour."""
+    names, held = ["id", "rank", "neighbour_id", "similarity"], []
     for block in groups(batches, 1):
-        ids, fresh = [block.column(i).to_numpy(zero_copy_only=False) for i in (1, 2)]
-        worst = block.column(3).to_numpy(zero_copy_only=False).astype(float)
-        vectors = matrix(block.column(4), width)
-        far = -np.round(vectors @ vectors.T, DECIMALS)
-        fresh = fresh.astype(bool)
-        some = (far < np.where(np.isnan(worst), np.inf, worst)[:, None]) & (fresh[:, None] | fresh[None])
-        np.fill_diagonal(some, False)
-        a, b = np.nonzero(some)
-        if len(a):
-            columns = [pa.array(ids[a]), pa.array(ids[b]), pa.array(far[a, b])]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "near", "far"])
+        at, vectors = block.column(0)[0].as_py(), matrix(block.column(3), width)
+        own, ids = [block.column(i).to_numpy(zero_copy_only=False) for i in (1, 2)]
+        own = own.astype(bool)
+        others = ~own & (ids != at)
+        near, found = np.round(vectors[others] @ vectors[own].T, DECIMALS).max(axis=1), ids[others]
+        if (~own & (ids == at)).any():
+            itself = np.round(vectors[own] @ vectors[own].T, DECIMALS)
+            np.fill_diagonal(itself, -np.inf)
+            near, found = np.append(near, itself.max()), np.append(found, at)
+        best = np.lexsort((found, -near))
+        best = best[np.sort(np.unique(found[best], return_index=True)[1])][:k]
+        held.append((np.full(len(best), at), np.arange(1, len(best) + 1, dtype=np.int32), found[best], near[best]))
+        if len(held) >= SENT_LISTS:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*held)], names=names)
+            held = []
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*held)], names=names)

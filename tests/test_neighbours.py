@@ -1,5 +1,8 @@
 """Search and recommendation against comparisons with all rows."""
 
+import contextlib
+import io
+import re
 import tracemalloc
 
 import duckdb
@@ -81,6 +84,36 @@ def test_blocks_that_split_all_cells_do_not_split_the_graph(spark, monkeypatch):
     assert sum(len(dict(got[q]).keys() & dict(want[q]).keys()) for q in want) >= 0.85 * 10 * len(want)
 
 
+def test_rounds_are_few_and_shuffle_no_vectors_of_doubles(spark, monkeypatch):
+    vectors = np.random.default_rng(6).normal(size=(3000, 32))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "id long, embedding array<double>")
+    plans, staged = [], neighbours.stage
+
+    def seen(df, name):
+        text = io.StringIO()
+        with contextlib.redirect_stdout(text):
+            df.explain("formatted")
+        plans.append((name, re.findall(r"\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", text.getvalue())))
+        return staged(df, name)
+
+    monkeypatch.setattr(neighbours, "stage", seen)
+    monkeypatch.setattr(neighbours, "GRAPH_ROUNDS", 2)
+    graph = as_lists(neighbours.neighbour_graph(frame, "id", "embedding").collect(), "id")
+    exchanges = [columns for name, columns in plans if name == "neighbours"]
+    assert exchanges and not any("vector" in columns for some in exchanges for columns in some)
+    want = exact(np.arange(3000), vectors, np.arange(3000), 10, itself=False)
+    assert sum(len(dict(graph[q]).keys() & dict(want[q]).keys()) for q in want) >= 0.95 * 10 * len(want)
+    assert all(abs(dict(graph[q])[i] - x) < 1e-8 for q in want for i, x in want[q] if i in dict(graph[q]))
+
+
+def test_rows_that_share_an_id_are_one_row_of_the_graph(spark):
+    rows = [(1, [1.0, 0.0]), (1, [1.0, 1.0]), (2, [0.0, 1.0]), (3, [1.0, 0.0]), (3, [1.0, 0.0])]
+    frame = spark.createDataFrame(rows, "id long, embedding array<double>")
+    half = round(0.5**0.5, 9)
+    found = as_lists(neighbours.neighbour_graph(frame, "id", "embedding", 3).collect(), "id")
+    assert found == {1: [(3, 1.0), (1, half), (2, half)], 2: [(1, half), (3, 0.0)], 3: [(1, 1.0), (3, 1.0), (2, 0.0)]}
+
+
 def test_unusable_vectors_copies_and_ties(spark):
     rng = np.random.default_rng(4)
     vectors = rng.normal(size=(40, 5))
