@@ -8,6 +8,8 @@ position.
 
 from __future__ import annotations
 
+import functools
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -194,3 +196,63 @@ def stem(word: Column) -> Column:
         return F.when(long_enough & changes, F.coalesce(irregular, regular)).otherwise(token)
 
     return _let(word, stemmed)
+
+
+def _repaired(word: str) -> str:
+    if re.search("(?:at|bl|iz)$", word):
+        return word + "e"
+    if re.search(DOUBLE_CONSONANT, word):
+        return word[:-1]
+    return word + "e" if re.search(SHORT_SYLLABLE, word) else word
+
+
+def _without_past(word: str) -> str:
+    if not word.endswith(("ed", "ing")):
+        return word
+    if word.endswith("ied"):
+        return word[: -1 if len(word) == 4 else -2]
+    if word.endswith("eed"):
+        return word[:-1] if re.search(MEASURE_OVER_0 + ".*eed$", word) else word
+    return _repaired(re.sub("(?:ed|ing)$", "", word)) if re.search(TO_VOWEL + ".*(?:ed|ing)$", word) else word
+
+
+def _suffix(word: str, suffixes) -> str:
+    found = re.search(any_suffix(suffixes), word)
+    return found[1] if found else ""
+
+
+def stem_word(word: str) -> str:
+    """What ``stem`` says of a lower-case token, for tokens that are in Python already."""
+    if len(word) < MIN_STEMMED_LENGTH or word in IRREGULAR:
+        return IRREGULAR.get(word, word)
+    if word.endswith("s"):
+        plain = re.sub("([^s])s$", r"\1", re.sub("(ss|i)es$", r"\1", word))
+        word = word[:-1] if re.search("^.ies$", word) else plain
+    word = _without_past(word)
+    word = re.sub("^(.+[^aeiouy])y$", r"\1i", word)
+    if re.search(MEASURE_OVER_0 + ".*alli$", word):
+        word = word[:-2]
+    for table in (DERIVED_SUFFIXES, ENDING_SUFFIXES):
+        if suffix := _suffix(word, table):
+            rest = word[: -len(suffix)]
+            if re.search(MEASURE_OVER_0, word[:-3] if suffix == "logi" else rest):
+                word = rest + table[suffix]
+    if suffix := _suffix(word, RESIDUAL_SUFFIXES):
+        rest = word[: -len(suffix)]
+        if (suffix != "ion" or rest.endswith(("s", "t"))) and re.search(MEASURE_OVER_1, rest):
+            word = rest
+    if word.endswith("e"):
+        rest = word[:-1]
+        if re.search(MEASURE_OVER_1, rest) or (re.search(MEASURE_IS_1, rest) and not re.search(SHORT_SYLLABLE, rest)):
+            word = rest
+    return word[:-1] if word.endswith("ll") and re.search(MEASURE_OVER_1, word[:-1]) else word
+
+
+#: Words that a task remembers the stems of, and their greatest length.
+REMEMBERED, LONGEST_REMEMBERED = 1 << 16, 64
+
+
+def stemmer() -> Callable[[list[str]], list[str]]:
+    """``stem_word`` for lists of words; words that come again are remembered."""
+    remembered = functools.lru_cache(REMEMBERED)(stem_word)
+    return lambda words: [remembered(w) if len(w) <= LONGEST_REMEMBERED else stem_word(w) for w in words]

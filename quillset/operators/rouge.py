@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from collections.abc import Callable, Iterator
+from itertools import chain
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillset.functions.lcs import lcs_length, summary_lcs_length
-from quillset.functions.stemming import stem
+from quillset.functions.lcs import lcs_size, union_lcs_hits
+from quillset.functions.stemming import stem, stemmer
 from quillset.functions.text import bound, strip
 from quillset.session import with_computed
 
@@ -16,6 +22,7 @@ LINE_SEPARATOR = "\n"
 SCORE_DECIMALS = 2
 SIDES = ("prediction", "reference")
 METRICS = ("rouge1", "rouge2", "rougeL", "rougeLsum")
+SUBSEQUENCES = ("rougeL", "rougeLsum")
 
 # Up to so many n-grams that a pair shares are counted one by one.
 FEW_SHARED = 64
@@ -51,10 +58,43 @@ def _scores(overlap: Column, predicted: Column, expected: Column) -> list[Column
     return [precision.alias("precision"), recall.alias("recall"), f1.alias("f1")]
 
 
-def _lines(text: Column, stemmed: bool) -> Column:
-    """Tokens line by line. No token spans two lines, so flattened they are the tokens of the text."""
-    lines = F.filter(F.split(F.coalesce(strip(text), F.lit("")), LINE_SEPARATOR), lambda line: line != "")
-    return F.transform(lines, lambda line: rouge_tokens(line, stemmed))
+def _shared_ngrams(one: list[str], other: list[str], n: int) -> int:
+    """How many n-grams two lists of tokens share, each as often as both hold it."""
+    few, many = [zip(*(tokens[i:] for i in range(n))) for tokens in sorted((one, other), key=len)]
+    counts = Counter(few)
+    return (counts & Counter(gram for gram in many if gram in counts)).total()
+
+
+def _pair_counts(metrics: tuple[str, ...], stemmed: bool):
+    """The sizes of both texts and the overlap of each metric, from lower-case texts, one pair after the other."""
+    names = [*[f"{side}_size" for side in SIDES], *metrics]
+
+    def lines(text: str, stems: Callable[[list[str]], list[str]] | None) -> list[list[str]]:
+        # No token spans two lines, so one after the other they are the tokens of the text.
+        found = [re.findall(ROUGE_TOKEN, line) for line in text.split(LINE_SEPARATOR)]
+        return [stems(line) for line in found] if stems else found
+
+    def overlap(metric: str, predicted: list[list[str]], expected: list[list[str]], whole: list[list[str]]) -> int:
+        if metric == "rougeLsum":
+            return union_lcs_hits(expected, predicted)
+        return lcs_size(whole[1], whole[0]) if metric == "rougeL" else _shared_ngrams(*whole, _size(metric))
+
+    def counts(predicted: list[list[str]], expected: list[list[str]]) -> list[int]:
+        whole = [list(chain.from_iterable(side)) for side in (predicted, expected)]
+        return [*map(len, whole), *[overlap(m, predicted, expected, whole) for m in metrics]]
+
+    @F.pandas_udf(", ".join(f"{name} long" for name in names))
+    def counted(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        stems = stemmer() if stemmed else None
+        for prediction, reference in batches:
+            rows = [counts(lines(p, stems), lines(r, stems)) for p, r in zip(prediction, reference)]
+            yield pd.DataFrame(rows, columns=names, dtype="int64")
+
+    return counted
+
+
+def _size(metric: str) -> int:
+    return int(metric.removeprefix("rouge"))
 
 
 def _again(grams: Column) -> Column:
@@ -108,32 +148,24 @@ def rouge_scores(
     Keys must be unique and not null: where n-grams are counted, others are found and raise.
 
     Texts are shuffled once, by key, and tokenized once for all metrics. The n-grams of a pair are counted inside its
-    row, in sorted arrays, so none of them becomes a row. What is left of a pair are a few numbers; Python evaluation of
-    the common subsequences loses the partitioning, so with them these numbers are dealt out by key once more.
+    row, in sorted arrays, so none of them becomes a row. Common subsequences ask for Python; with them the texts go there
+    once, and all metrics are counted there, with stems that a task remembers. What is left of a pair are a few numbers;
+    Python loses the partitioning, so these numbers are dealt out by key once more.
     """
     # A given number of partitions keeps the work on tokens spread, however few bytes the texts have.
     partitions = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = pairs.select(key, F.array("prediction", "reference").alias("texts")).repartition(partitions, key)
-    if "rougeLsum" in metrics:
-        lined = with_computed(texts, lines=F.transform("texts", lambda text: _lines(text, stemmed)))
-        tokenized = with_computed(
-            lined.select(key, *[F.col("lines")[i].alias(f"{side}_lines") for i, side in enumerate(SIDES)]),
-            **{side: F.flatten(f"{side}_lines") for side in SIDES},
-        )
+    ngram_sizes = {metric: _size(metric) for metric in metrics if metric not in SUBSEQUENCES}
+    if len(ngram_sizes) < len(metrics):
+        sides = [F.lower(F.coalesce(strip(F.col("texts")[i]), F.lit(""))) for i in range(len(SIDES))]
+        counted = texts.select(key, _pair_counts(metrics, stemmed)(*sides).alias("counts")).select(key, "counts.*")
     else:
         whole = [rouge_tokens(F.coalesce(F.col("texts")[i], F.lit("")), stemmed) for i in range(len(SIDES))]
-        tokenized = with_computed(texts, **dict(zip(SIDES, whole)))
-    subsequences = {
-        "rougeL": lcs_length(F.col("reference"), F.col("prediction")),
-        "rougeLsum": summary_lcs_length(F.col("reference_lines"), F.col("prediction_lines")),
-    }
-    ngram_sizes = {metric: int(metric.removeprefix("rouge")) for metric in metrics if metric not in subsequences}
-    overlaps = {m: _ngram_overlap(ngram_sizes[m]) if m in ngram_sizes else subsequences[m] for m in metrics}
-    counted = tokenized.select(
-        key,
-        *[F.size(side).alias(f"{side}_size") for side in SIDES],
-        *[overlap.cast("bigint").alias(metric) for metric, overlap in overlaps.items()],
-    )
+        counted = with_computed(texts, **dict(zip(SIDES, whole))).select(
+            key,
+            *[F.size(side).alias(f"{side}_size") for side in SIDES],
+            *[_ngram_overlap(n).cast("bigint").alias(metric) for metric, n in ngram_sizes.items()],
+        )
     if ngram_sizes:
         numbers = [F.first(c).alias(c) for c in counted.columns if c != key]
         counted = counted.groupBy(key).agg(*numbers, F.count(F.lit(1)).alias("pairs"))

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillset.functions.lcs import lcs_positions, lcs_size, union_lcs_hits
+from quillset.functions import stemming
 from quillset.functions.stemming import stem
 from quillset.operators.rouge import corpus_scores, eval_pairs, rouge_scores
 from quillset.plans.evaluate import evaluate_predictions
@@ -189,3 +190,34 @@ def test_ngrams_never_become_rows(spark):
     assert not any("metric" in line for line in plan.split("\n") if "Aggregate" in line)
     found = {(r.id, r.metric): (round(r.precision, 9), round(r.recall, 9), round(r.f1, 9)) for r in scores.collect()}
     assert found == {(i, m): brute_scores(p, r, m) for i, p, r in rows for m in ("rouge1", "rouge2")}
+
+
+def test_each_word_is_stemmed_once_for_all_texts(spark, monkeypatch):
+    # Made words with all endings, in both forms of the stemmer.
+    rng = random.Random(11)
+    ends = ["", "e", "s", "y", "ies", "ied", "eed", "ed", "ing", "ll", "logi", *stemming.ALL_SUFFIXES]
+    words = ["".join(rng.choices("aeiouybcdlnrstxz0", k=rng.randrange(6))) + rng.choice(ends) + rng.choice(ends[:9]) for _ in range(8000)]
+    words = sorted({w for w in [*words, *STEMS, *stemming.IRREGULAR] if w})
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    native = {r.w: r.s for r in df.select("w", stem(F.col("w")).alias("s")).collect()}
+    assert dict(zip(words, stemming.stemmer()(words))) == native
+    stemmed = []
+    monkeypatch.setattr(stemming, "stem_word", lambda w: stemmed.append(w) or w)
+    stemming.stemmer()(["relational", "b" * 99] * 1000)
+    assert stemmed.count("relational") == 1 and stemmed.count("b" * 99) == 1000
+
+
+def test_all_metrics_go_to_python_at_once_as_texts(spark):
+    pairs = spark.createDataFrame([(1, "A b\n\nÇa C\u212a", "b a")], "id long, prediction string, reference string")
+    plan = rouge_scores(pairs)._jdf.queryExecution().executedPlan().toString()
+    assert "regexp_extract_all" not in plan and plan.count("ArrowEvalPython") == 1
+    found = {r.metric: (r.precision, r.recall) for r in rouge_scores(pairs).collect()}
+    assert found == {"rouge1": (0.5, 1.0), "rouge2": (1 / 3, 1.0), "rougeL": (0.5, 1.0), "rougeLsum": (0.5, 1.0)}
+
+
+def test_lcs_positions_of_lines_with_other_tokens():
+    rng = random.Random(12)
+    for _ in range(2000):
+        a, b = [[rng.choice("abcd") for _ in range(rng.randrange(9))] for _ in range(2)]
+        b = [t if rng.random() < 0.6 else rng.choice("wxyz") for t in b]
+        assert lcs_positions(a, b) == traced(a, b)
