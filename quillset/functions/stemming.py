@@ -80,6 +80,7 @@ MIN_STEMMED_LENGTH = 4
 # A word with none of these endings passes every step unchanged.
 FINAL_LETTERS = ["e", "s", "y"]
 ALL_SUFFIXES = ["ed", "ing", "ll", *DERIVED_SUFFIXES, *ENDING_SUFFIXES, *RESIDUAL_SUFFIXES]
+ENDINGS = {suffix[-2:] for suffix in ALL_SUFFIXES}
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -223,8 +224,10 @@ def _suffix(word: str, suffixes) -> str:
 
 def stem_word(word: str) -> str:
     """What ``stem`` says of a lower-case token, for tokens that are in Python already."""
-    if len(word) < MIN_STEMMED_LENGTH or word in IRREGULAR:
-        return IRREGULAR.get(word, word)
+    if len(word) < MIN_STEMMED_LENGTH or not (word[-1] in FINAL_LETTERS or word[-2:] in ENDINGS):
+        return word
+    if word in IRREGULAR:
+        return IRREGULAR[word]
     if word.endswith("s"):
         plain = re.sub("([^s])s$", r"\1", re.sub("(ss|i)es$", r"\1", word))
         word = word[:-1] if re.search("^.ies$", word) else plain
@@ -249,7 +252,7 @@ def stem_word(word: str) -> str:
 
 
 #: Words that a task remembers the stems of, and their greatest length.
-REMEMBERED, LONGEST_REMEMBERED = 1 << 16, 64
+REMEMBERED, LONGEST_REMEMBERED = 1 << 17, 64
 
 
 def stemmer() -> Callable[[list[str]], list[str]]:
